@@ -54,14 +54,11 @@ def resolve_realm(events: DataFrame, realms: DataFrame) -> DataFrame:
     return lookup_join(events, realms.select("realm_id", "name"), {"realm": "name"})
 
 
-def matched(resolved: DataFrame) -> DataFrame:
-    return resolved.where(F.col("realm_id").isNotNull())
-
-
-def missed(events: DataFrame, realms: DataFrame) -> DataFrame:
-    """Events whose realm is not in the lookup, with the events' own columns."""
-    resolved = resolve_realm(events, realms.select("realm_id", "name"))
-    return resolved.where(F.col("realm_id").isNull()).select(*events.columns)
+def split_realm(events: DataFrame, realms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events of known realms with ``realm_id`` and ``name``, and the events of all other realms."""
+    resolved = resolve_realm(events, realms)
+    found = F.col("realm_id").isNotNull()
+    return resolved.where(found), resolved.where(~found).select(*events.columns)
 
 
 def has_session() -> Column:

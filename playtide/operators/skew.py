@@ -53,11 +53,12 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[i
     return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
 
 
-def _salted(df: DataFrame, keys: list[str], hot: list[int], by: Column) -> DataFrame:
+def _salted(df: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
     """Rows of hot keys, and of null keys, get one of ``SALTS`` salts from a stable hash."""
     is_hot = _key_hash(keys).isin(hot) if hot else F.lit(False)
     spread = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], is_hot)
-    return df.withColumn(_SALT, F.when(spread, F.pmod(by, F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    return df.withColumn(_SALT, F.when(spread, salt).otherwise(0))
 
 
 def _copied(df: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
@@ -81,9 +82,11 @@ def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
         if kinds[0] != kinds[1] and not all(isinstance(k, T.IntegralType) for k in kinds):
             raise TypeError(f"join key {key} has types {kinds[0]} and {kinds[1]}")
     hot = [] if left.isStreaming else hot_keys(left, keys)
-    by = F.xxhash64(*left.columns)
-    joined = _salted(left, keys, hot, by).join(_copied(right, keys, hot), [*keys, _SALT], how)
-    return joined.drop(_SALT)
+    if how in ("inner", "left_semi"):
+        left = left.na.drop(subset=keys)  # null keys match nothing
+        if not hot:
+            return left.join(right, keys, how)
+    return _salted(left, keys, hot).join(_copied(right, keys, hot), [*keys, _SALT], how).drop(_SALT)
 
 
 def semi_join(df: DataFrame, keys_of: DataFrame, key: str) -> DataFrame:

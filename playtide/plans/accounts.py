@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from playtide.functions.fields import add_row_id
-from playtide.operators.lookup import Outcome, matched, missed, of_action, of_type, resolve_realm
+from playtide.operators.lookup import Outcome, of_action, of_type, resolve_realm, split_realm
 from playtide.schemas import USER_SIGN_IN
 
 
@@ -15,7 +15,8 @@ def logins(events: DataFrame, realms: DataFrame) -> Outcome:
     """Sign-in attempts; anything but a successful login, also a missing type, is a failure."""
     attempts = events.where(of_action(USER_SIGN_IN))
     succeeded = F.coalesce(of_type("SUCCESSFUL_LOGIN"), F.lit(False))
-    rows = matched(resolve_realm(attempts, realms)).select(
+    known, missed = split_realm(attempts, realms)
+    rows = known.select(
         "realm_id",
         "town",
         "country",
@@ -25,12 +26,13 @@ def logins(events: DataFrame, realms: DataFrame) -> Outcome:
         succeeded.alias("is_success"),
         F.col("customerId").alias("customer_id"),
     )
-    return Outcome(rows, missed(attempts, realms))
+    return Outcome(rows, missed)
 
 
 def signups(events: DataFrame, realms: DataFrame) -> Outcome:
     registered = events.where(of_type("REGISTER_USER"))
-    rows = matched(resolve_realm(registered, realms)).select(
+    known, missed = split_realm(registered, realms)
+    rows = known.select(
         "realm_id",
         "town",
         "country",
@@ -38,7 +40,7 @@ def signups(events: DataFrame, realms: DataFrame) -> Outcome:
         F.col("payload.data.device").alias("device"),
         F.col("customerId").alias("customer_id"),
     )
-    return Outcome(rows, missed(registered, realms))
+    return Outcome(rows, missed)
 
 
 @dataclass(frozen=True)

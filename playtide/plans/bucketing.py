@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from playtide.functions.times import date_parts
-from playtide.operators.lookup import matched, missed, resolve_realm
+from playtide.operators.lookup import split_realm
 
 PARTITIONS = ("year", "month", "day", "hour")
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -22,9 +22,9 @@ class Buckets:
 
 def bucket_events(events: DataFrame, realms: DataFrame) -> Buckets:
     """Events of known realms with their date parts, and how many there are per date."""
-    known = matched(resolve_realm(events, realms))
+    known, missed = split_realm(events, realms)
     dated = known.withColumns(date_parts(F.col("ts")))
-    return Buckets(dated, count_per_date(dated), missed(events, realms))
+    return Buckets(dated, count_per_date(dated), missed)
 
 
 def count_per_date(dated: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from playtide.functions.fields import sorted_join
 from playtide.functions.times import seconds_between
-from playtide.operators.lookup import Outcome, matched, missed, of_type, resolve_realm
+from playtide.operators.lookup import Outcome, of_type, split_realm
 
 WENT_LIVE, WENT_OFF = "EVENT_WENT_LIVE", "EVENT_WENT_NOTLIVE"
 NEW_VOD, UPDATED_VOD = "NEW_VOD_FROM_DVE", "UPDATED_VOD"
@@ -25,12 +25,12 @@ class EventTimes:
 def event_times(events: DataFrame, realms: DataFrame) -> EventTimes:
     """When live events went on and off air."""
     changes = events.where(of_type(WENT_LIVE, WENT_OFF))
-    known = matched(resolve_realm(changes, realms))
+    known, missed = split_realm(changes, realms)
     event_id = F.col("payload.data.DGE_EVENT_ID").alias("event_id")
     return EventTimes(
         known.where(of_type(WENT_LIVE)).select(event_id, "realm_id", F.col("ts").alias("start_at")),
         known.where(of_type(WENT_OFF)).select(event_id, "realm_id", F.col("ts").alias("finish_at")),
-        missed(changes, realms),
+        missed,
     )
 
 
@@ -38,7 +38,8 @@ def live_catalogue(events: DataFrame, realms: DataFrame) -> Outcome:
     updates = events.where(of_type(LIVE_UPDATED))
     video = "payload.data.v."
     start, end = F.col(video + "startDate"), F.col(video + "endDate")
-    rows = matched(resolve_realm(updates, realms)).select(
+    known, missed = split_realm(updates, realms)
+    rows = known.select(
         "realm_id",
         F.col(video + "title").alias("title"),
         F.col(video + "eventId").alias("event_id"),
@@ -54,14 +55,15 @@ def live_catalogue(events: DataFrame, realms: DataFrame) -> Outcome:
         end.alias("finish_at"),
         F.col(video + "updatedAt").alias("updated_at"),
     )
-    return Outcome(rows, missed(updates, realms))
+    return Outcome(rows, missed)
 
 
 def vod_catalogue(events: DataFrame, realms: DataFrame) -> Outcome:
     """On-demand videos; the import time is known only for newly added ones."""
     updates = events.where(of_type(UPDATED_VOD, NEW_VOD))
     video = "payload.data.v."
-    rows = matched(resolve_realm(updates, realms)).select(
+    known, missed = split_realm(updates, realms)
+    rows = known.select(
         F.col("payload.data.vid").alias("video_id"),
         F.col(video + "vodDveId").alias("video_dve_id"),
         "realm_id",
@@ -75,7 +77,7 @@ def vod_catalogue(events: DataFrame, realms: DataFrame) -> Outcome:
         F.when(of_type(NEW_VOD), F.col("ts")).alias("imported_at"),
         F.col("ts").alias("updated_at"),
     )
-    return Outcome(rows, missed(updates, realms))
+    return Outcome(rows, missed)
 
 
 def vod_backfill(rows: DataFrame) -> DataFrame:

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from playtide.operators import plays as ops
-from playtide.operators.lookup import (
-    Outcome, has_session, matched, missed, of_action, resolve_realm,
-)
+from playtide.operators.lookup import Outcome, has_session, of_action, split_realm
 from playtide.schemas import LIVE_WATCHING, VOD_PROGRESS
 
 
@@ -25,9 +23,9 @@ def _invalid(watched: DataFrame) -> DataFrame:
 def vod_plays(events: DataFrame, realms: DataFrame, stored: DataFrame | None = None) -> Outcome:
     watched = events.where(of_action(VOD_PROGRESS))
     valid = watched.where(has_session())
-    beats = ops.heartbeats(matched(resolve_realm(valid, realms)))
-    result = ops.vod_rollup(beats, _touched(valid, stored))
-    return Outcome(result, missed(valid, realms), _invalid(watched))
+    known, missed = split_realm(valid, realms)
+    result = ops.vod_rollup(ops.heartbeats(known), _touched(valid, stored))
+    return Outcome(result, missed, _invalid(watched))
 
 
 def live_plays(
@@ -35,25 +33,25 @@ def live_plays(
 ) -> Outcome:
     watched = events.where(of_action(LIVE_WATCHING))
     valid = watched.where(has_session())
-    beats = ops.heartbeats(matched(resolve_realm(valid, realms)))
-    result = ops.live_rollup(beats, _touched(valid, stored), recompute)
-    return Outcome(result, missed(valid, realms), _invalid(watched))
+    known, missed = split_realm(valid, realms)
+    result = ops.live_rollup(ops.heartbeats(known), _touched(valid, stored), recompute)
+    return Outcome(result, missed, _invalid(watched))
 
 
 def session_durations(events: DataFrame, realms: DataFrame) -> Outcome:
     watched = events.where(of_action(VOD_PROGRESS, LIVE_WATCHING))
     valid = watched.where(has_session())
-    beats = ops.heartbeats(matched(resolve_realm(valid, realms)))
-    return Outcome(ops.session_rollup(beats), missed(valid, realms), _invalid(watched))
+    known, missed = split_realm(valid, realms)
+    return Outcome(ops.session_rollup(ops.heartbeats(known)), missed, _invalid(watched))
 
 
 def all_vod_plays(events: DataFrame, realms: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Every stored play with the new events merged in: one row per play, for a table rewrite."""
     valid = events.where(of_action(VOD_PROGRESS) & has_session())
-    return ops.vod_rollup(ops.heartbeats(matched(resolve_realm(valid, realms))), stored)
+    return ops.vod_rollup(ops.heartbeats(split_realm(valid, realms)[0]), stored)
 
 
 def all_live_plays(events: DataFrame, realms: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Every stored play with the new events merged in: one row per play, for a table rewrite."""
     valid = events.where(of_action(LIVE_WATCHING) & has_session())
-    return ops.live_rollup(ops.heartbeats(matched(resolve_realm(valid, realms))), stored)
+    return ops.live_rollup(ops.heartbeats(split_realm(valid, realms)[0]), stored)

@@ -42,9 +42,16 @@ def _text(*parts: Column | str) -> Column:
 
 def _struct(kind: T.StructType, **values: Column) -> Column:
     """A struct of the given type; fields without a value are null."""
-    return F.struct(*[
-        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields
-    ])
+    return F.struct(*_typed(kind, values))
+
+
+def _typed(kind: T.StructType, values: dict[str, Column]) -> list[Column]:
+    """Values in field order. A struct is taken as built: a cast would hide its fields from Catalyst."""
+    return [
+        values[f.name].alias(f.name) if f.name in values and isinstance(f.dataType, T.StructType)
+        else values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in kind.fields
+    ]
 
 
 def _event_rows(
@@ -53,9 +60,7 @@ def _event_rows(
     payload_type = EVENT["payload"].dataType
     nested = _struct(payload_type["data"].dataType, **data)
     root = {**top, "payload": _struct(payload_type, data=nested, **payload)}
-    return rows.select(
-        *[root.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT.fields], *keep
-    )
+    return rows.select(*_typed(EVENT, root), *keep)
 
 
 def event_log(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:

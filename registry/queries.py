@@ -194,7 +194,7 @@ def realm_resolve_split(spark, sf_dir):
 
 @query
 def missed_realms(spark, sf_dir):
-    return _flat(lookup.missed(*_log_and_realms(spark, sf_dir)))
+    return _flat(lookup.split_realm(*_log_and_realms(spark, sf_dir))[1])
 
 
 @query
