@@ -96,13 +96,15 @@ class CatalogStore:
 
     def write_batch(self, df: DataFrame, table: str, batch_id: int) -> None:
         """Write a micro-batch as one partition, replacing the same batch of an earlier try."""
-        rows = df.withColumn(_BATCH, F.lit(batch_id).cast("bigint"))
         if self.find(table) is None:
+            rows = df.withColumn(_BATCH, F.lit(batch_id).cast("bigint"))
             rows.write.partitionBy(_BATCH).saveAsTable(self.name(table))
             return
-        columns = self.scan(table).columns
-        writer = rows.select(*columns).write.option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(self.name(table), overwrite=True)
+        columns = [c for c in self.scan(table).columns if c != _BATCH]
+        df.sparkSession.sql(
+            f"INSERT OVERWRITE {self.name(table)} PARTITION ({_BATCH} = {int(batch_id)}) SELECT * FROM {{rows}}",
+            rows=df.select(*columns),
+        )
 
     def replace(self, df: DataFrame, table: str) -> None:
         """Rewrite a table, also from its own rows: they are staged before it is touched."""
