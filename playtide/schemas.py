@@ -63,7 +63,7 @@ EVENT_TYPES = (
 
 STRING, BOOLEAN, TIMESTAMP = T.StringType(), T.BooleanType(), T.TimestampType()
 BYTE, SHORT, INT, LONG = T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()
-FLOAT, DOUBLE = T.FloatType(), T.DoubleType()
+FLOAT = T.FloatType()
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
@@ -146,7 +146,8 @@ VOD_CATALOGUE_CSV = _struct(
     updated_at=TIMESTAMP,
 )
 
-# Superset of the fields the stream branches read from one message record.
+# Superset of the fields the stream branches read from one message record. Values stay text, as a
+# field may hold a number or a number's text; only what a branch needs is cast.
 MESSAGE = _struct(
     event_name=STRING,
     message_type=STRING,
@@ -156,8 +157,8 @@ MESSAGE = _struct(
     update_interval=STRING,
     event_value=STRING,
     event_cat_sku=STRING,
-    latitude=DOUBLE,
-    longitude=DOUBLE,
+    latitude=STRING,
+    longitude=STRING,
     experiments=T.ArrayType(_struct(experiment_id=STRING, variant_id=STRING)),
     message_id=STRING,
     provider_message_id=STRING,

@@ -12,7 +12,7 @@ from playtide.operators.plays import add_durations, merge_watch_time
 from playtide.operators.skew import fits_broadcast
 from playtide.sources.tables import FolderStore, TableStore
 from playtide.streaming.messages import (
-    BRANCHES, VIEWING_KEYS, WATCH_KEYS, decode_messages, video_rows, with_experiment,
+    BRANCHES, VIEWING_KEYS, WATCH_KEYS, decode_messages, with_experiment,
 )
 
 EVERY_TWO_SECONDS = {"processingTime": "2 seconds"}
@@ -30,10 +30,10 @@ def write_branches(
         for name in tables:
             branch = BRANCHES[name]
             rows = branch.apply(messages, arrival)
-            store.write_batch(rows.where(branch.usable()).drop("record"), name, batch_id)
-            if branch.required:
-                bad = rows.where(~branch.usable())
-                rejected.append(bad.select(F.lit(name).alias("branch"), "record"))
+            if name != "video_play":  # its totals are a query of their own
+                store.write_batch(rows.where(branch.usable()).drop("record"), name, batch_id)
+            bad = rows.where(~branch.usable())
+            rejected.append(bad.select(F.lit(name).alias("branch"), "record"))
         dead = reduce(DataFrame.unionByName, rejected)
         if not dead.isEmpty():
             store.write_batch(dead, DEAD_LETTERS, batch_id)
@@ -69,23 +69,21 @@ def start_fan_out(
 ) -> list[StreamingQuery]:
     """Start the stream jobs and return their queries.
 
-    The four append-only tables share one query that decodes each micro-batch once. Watch time
-    is a second query with the totals as state: it emits the new totals of the keys in the
+    The append-only tables and the dead letters share one query that decodes each micro-batch once.
+    Watch time is a second query with the totals as state: it emits the new totals of the keys in the
     batch and never reads its table back. Each batch writes under its own id, so a batch that is
     run again replaces its rows.
     """
     tables = list(tables)
-    appended = [t for t in tables if t != "video_play"]
     small = fits_broadcast(names)
     now = F.current_timestamp() if arrival is None else arrival
     messages = with_experiment(decode(stream), names, small=small)
     queries = []
 
-    if appended:
-        def route(batch: DataFrame, batch_id: int) -> None:
-            write_branches(batch, appended, store, batch_id, now)
+    def route(batch: DataFrame, batch_id: int) -> None:
+        write_branches(batch, tables, store, batch_id, now)
 
-        queries.append(_start(messages, "append", route, f"{checkpoint}/branches", trigger))
+    queries.append(_start(messages, "append", route, f"{checkpoint}/branches", trigger))
     if "video_play" in tables:
         def totals(batch: DataFrame, batch_id: int) -> None:
             store.write_batch(batch, "video_play", batch_id)
@@ -158,11 +156,11 @@ def start_rewrite(
 ) -> StreamingQuery:
     """Keep a table of total watch time per user, content and experiment by rewriting it per batch."""
     now = F.current_timestamp() if arrival is None else arrival
-    accepted = decode(stream).where(BRANCHES["video_play"].accepts())
-    rows = video_rows(with_experiment(accepted, names, small=fits_broadcast(names)), now)
+    branch = BRANCHES["video_play"]
+    rows = branch.apply(with_experiment(decode(stream), names, small=fits_broadcast(names)), now)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rewrite_totals(batch.where(F.col("duration").isNotNull()), store, table, batch_id)
+        rewrite_totals(batch.where(branch.usable()), store, table, batch_id)
 
     return _start(rows, "append", write, checkpoint, trigger)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from playtide.functions.fields import last_part_matching
 from playtide.functions.times import loose_timestamp
@@ -15,6 +16,8 @@ from playtide.schemas import MESSAGE
 # Coordinates outside the valid range mark a missing position.
 NO_LATITUDE, NO_LONGITUDE = 181, 361
 
+_UNREAD = "__unread"
+
 WATCH_KEYS = (
     "user_id", "content_id", "experiment_id", "variant_id", "geo_latitude", "geo_longitude",
 )
@@ -24,15 +27,21 @@ VIEWING_KEYS = WATCH_KEYS[:4]
 def decode_messages(messages: DataFrame, column: str = "value") -> DataFrame:
     """One row per record of each message, whose text is a JSON array of records or one record.
 
-    ``record`` keeps the record's text; ``readable`` is false when it is not a JSON object.
+    ``record`` keeps the record's text; ``readable`` is false when it is no JSON object or a field
+    has the wrong shape. Records are parsed inside the explode, so filters on their fields do not
+    parse them again.
     """
     text = F.trim(F.col(column).cast("string"))
-    many = F.from_json(text, "array<string>")
-    records = F.when(text.startswith("["), F.coalesce(many, F.array(text))).otherwise(F.array(text))
-    rows = messages.select(F.explode(records).alias("record")).where(F.col("record") != "")
-    parsed = rows.withColumn("m", F.from_json("record", MESSAGE))
-    readable = F.try_parse_json("record").isNotNull() & F.col("record").startswith("{")
-    return parsed.select(*[F.col(f"m.{f}").alias(f) for f in MESSAGE.names], "record", readable.alias("readable"))
+    many = F.coalesce(F.from_json(text, "array<string>"), F.array(text))
+    records = F.filter(F.when(text.startswith("["), many).otherwise(F.array(text)), lambda r: r != "")
+    schema = T.StructType([*MESSAGE.fields, T.StructField(_UNREAD, T.StringType())])
+    options = {"columnNameOfCorruptRecord": _UNREAD}
+    parsed = F.transform(
+        records, lambda r: F.struct(r.alias("record"), F.from_json(r, schema, options).alias("m"))
+    )
+    rows = messages.select(F.explode(parsed).alias("r"))
+    readable = F.col("r.m").isNotNull() & F.col(f"r.m.{_UNREAD}").isNull()
+    return rows.select(*[F.col(f"r.m.{f}").alias(f) for f in MESSAGE.names], "r.record", readable.alias("readable"))
 
 
 def decode_avro(messages: DataFrame, avro_schema: str, column: str = "value") -> DataFrame:
@@ -58,17 +67,23 @@ def with_experiment(
 
 def _position() -> list[Column]:
     return [
-        F.coalesce("latitude", F.lit(NO_LATITUDE)).cast("double").alias("geo_latitude"),
-        F.coalesce("longitude", F.lit(NO_LONGITUDE)).cast("double").alias("geo_longitude"),
+        _or_missing("latitude", NO_LATITUDE).alias("geo_latitude"),
+        _or_missing("longitude", NO_LONGITUDE).alias("geo_longitude"),
     ]
 
 
+def _or_missing(name: str, default: int) -> Column:
+    """The field as a number, ``default`` when it is absent, null when it holds something else."""
+    field = F.col(name)
+    return F.when(field.isNull(), F.lit(default).cast("double")).otherwise(field.try_cast("double"))
+
+
 def _whole(text: str) -> Column:
     return F.col(text).try_cast("double").try_cast("int")
 
 
 def _watched() -> Column:
-    return F.when(F.col("update_interval").isNull(), F.lit(0)).otherwise(_whole("update_interval"))
+    return _or_missing("update_interval", 0).try_cast("int")
 
 
 def register_rows(messages: DataFrame, arrival: Column) -> DataFrame:
@@ -119,36 +134,39 @@ def viewing_rows(messages: DataFrame, arrival: Column) -> DataFrame:
     """Watch rows of all messages; a registration counts under the content id ``register``."""
     registered = F.col("event_name") == "REGISTER_SUCCESS"
     content = F.when(registered, F.lit("register")).otherwise(F.col("product_id"))
-    return messages.select(
+    return messages.where("readable").select(
         "user_id", content.alias("content_id"), "experiment_id", "variant_id",
         _watched().alias("duration"), arrival.alias("event_datetime"), "record",
     )
 
 
+_GEO = ("geo_latitude", "geo_longitude")
+
+
 @dataclass(frozen=True)
 class Branch:
-    """One stream table: which messages go there, their rows, and a column that must be readable."""
+    """One stream table: which messages go there, their rows, and the columns that must have a value."""
 
     table: str
     accepts: Callable[[], Column]
     rows: Callable[[DataFrame, Column], DataFrame]
-    required: str | None = None
+    required: tuple[str, ...]
 
     def apply(self, messages: DataFrame, arrival: Column) -> DataFrame:
-        return self.rows(messages.where(self.accepts()), arrival)
+        return self.rows(messages.where(F.col("readable") & self.accepts()), arrival)
 
     def usable(self) -> Column:
-        return F.col(self.required).isNotNull() if self.required else F.lit(True)
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.required])
 
 
 BRANCHES = {
     b.table: b
     for b in (
-        Branch("register_user", lambda: F.col("event_name") == "REGISTER_SUCCESS", register_rows),
-        Branch("video_play", lambda: F.col("message_type") == "VIDEO_HB", video_rows, "duration"),
-        Branch("purchases", lambda: F.col("event_name") == "PURCHASE_CONFIRMATION", purchase_rows, "price"),
-        Branch("ratings", lambda: F.col("event_name") == "STREAM_RATING", rating_rows, "rating"),
-        Branch("email_status", lambda: F.col("role") == "email-delivery", email_rows, "event_timestamp"),
+        Branch("register_user", lambda: F.col("event_name") == "REGISTER_SUCCESS", register_rows, _GEO),
+        Branch("video_play", lambda: F.col("message_type") == "VIDEO_HB", video_rows, ("duration", *_GEO)),
+        Branch("purchases", lambda: F.col("event_name") == "PURCHASE_CONFIRMATION", purchase_rows, ("price", *_GEO)),
+        Branch("ratings", lambda: F.col("event_name") == "STREAM_RATING", rating_rows, ("rating", *_GEO)),
+        Branch("email_status", lambda: F.col("role") == "email-delivery", email_rows, ("event_timestamp",)),
     )
 }
 

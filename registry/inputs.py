@@ -28,117 +28,107 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumns({"k": k, "ts": F.col("ts").cast("timestamp")})
 
 
-def _pick(index: Column, *values: str | None) -> Column:
-    """Value by position; past the last one, the last one."""
-    chosen = F.lit(values[-1])
-    for i in reversed(range(len(values) - 1)):
-        chosen = F.when(index == i, F.lit(values[i])).otherwise(chosen)
-    return chosen
-
-
 def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _struct(kind: T.StructType, **values: Column) -> Column:
-    """A struct of the given type; fields without a value are null."""
-    return F.struct(*_typed(kind, values))
+def _struct(kind: T.StructType, values: dict[str, str]) -> str:
+    """SQL for a struct of the given type from SQL per field; fields without a value are null."""
+    return f"named_struct({', '.join(f"'{name}', {sql}" for name, sql in _typed(kind, values).items())})"
 
 
-def _typed(kind: T.StructType, values: dict[str, Column]) -> list[Column]:
-    """Values in field order. A struct is taken as built: a cast would hide its fields from Catalyst."""
-    return [
-        values[f.name].alias(f.name) if f.name in values and isinstance(f.dataType, T.StructType)
-        else values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+def _typed(kind: T.StructType, values: dict[str, str]) -> dict[str, str]:
+    """SQL per field, in field order. A struct is taken as built: a cast would hide its fields from Catalyst."""
+    return {
+        f.name: values[f.name] if f.name in values and isinstance(f.dataType, T.StructType)
+        else f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
         for f in kind.fields
-    ]
+    }
 
 
 def _event_rows(
-    rows: DataFrame, data: dict[str, Column], payload: dict[str, Column], top: dict[str, Column], *keep: str
+    rows: DataFrame, data: dict[str, str], payload: dict[str, str], top: dict[str, str], *keep: str
 ) -> DataFrame:
     payload_type = EVENT["payload"].dataType
-    nested = _struct(payload_type["data"].dataType, **data)
-    root = {**top, "payload": _struct(payload_type, data=nested, **payload)}
-    return rows.select(*_typed(EVENT, root), *keep)
+    nested = {**payload, "data": _struct(payload_type["data"].dataType, data)}
+    root = _typed(EVENT, {**top, "payload": _struct(payload_type, nested)})
+    return rows.selectExpr(*[f"{sql} AS {name}" for name, sql in root.items()], *keep)
 
 
 def event_log(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """One media event per row of ``events``; ``keep`` names columns of that table to carry along."""
-    rows = events(spark, sf_dir)
-    k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
-    login = F.when(k % 4 == 0, "FAILED_LOGIN").when(k % 4 > 1, "SUCCESSFUL_LOGIN")
-    on_air = F.when(k % 10 == 0, "EVENT_WENT_LIVE").when(k % 10 == 1, "EVENT_WENT_NOTLIVE").otherwise("OK")
-    cid = F.when(k == 1, "").when(k > 1, _text("s", user, "-", F.date_format("ts", "yyyyMMdd")))
-    day_start = F.unix_millis(F.date_trunc("day", "ts")).cast("string")
+    cid = "CASE WHEN k = 1 THEN '' WHEN k > 1 THEN concat('s', user_id, '-', date_format(ts, 'yyyyMMdd')) END"
     data = {
-        "ta": kind,
-        "TA": F.when(kind == "signup", "REGISTER_USER").when(kind == "purchase", "SUCCESSFUL_PURCHASE")
-        .when(kind == "error", login).when(kind == "click", on_air).otherwise("OK"),
+        "ta": "event_type",
+        "TA": """CASE event_type
+            WHEN 'signup' THEN 'REGISTER_USER'
+            WHEN 'purchase' THEN 'SUCCESSFUL_PURCHASE'
+            WHEN 'error' THEN CASE WHEN k % 4 = 0 THEN 'FAILED_LOGIN' WHEN k % 4 > 1 THEN 'SUCCESSFUL_LOGIN' END
+            WHEN 'click' THEN CASE k % 10 WHEN 0 THEN 'EVENT_WENT_LIVE' WHEN 1 THEN 'EVENT_WENT_NOTLIVE' ELSE 'OK' END
+            ELSE 'OK' END""",
         "cid": cid,
-        "device": _pick(k % 3, "BROWSER", "IOS", "ANDROID"),
-        "startedAt": F.when(k % 20 == 2, "n/a").otherwise(day_start),
-        "DGE_EVENT_ID": k,
-        "PAYMENT_PROVIDER": _pick(k % 3, "STRIPE", "GOOGLE_IAP", "APPLE_IAP"),
-        "PRICE_WITH_TAX_AMOUNT": F.when(k % 10 == 0, 0).when(k % 10 < 9, F.round(F.col("value") * 100)),
-        "PRICE_WITH_TAX_CURRENCY": _pick(k % 4, "USD", "GBP", "AUD", None),
-        "IS_TRIAL": k % 2 == 0,
-        "TRIAL_DAYS": k % 8,
-        "REVOKED": k % 7 == 0,
-        "CANCELLED": k % 6 == 0,
-        "SKU": _text("sku-", k % 5),
+        "device": "elt(k % 3 + 1, 'BROWSER', 'IOS', 'ANDROID')",
+        "startedAt": "if(k % 20 = 2, 'n/a', string(unix_millis(date_trunc('day', ts))))",
+        "DGE_EVENT_ID": "k",
+        "PAYMENT_PROVIDER": "elt(k % 3 + 1, 'STRIPE', 'GOOGLE_IAP', 'APPLE_IAP')",
+        "PRICE_WITH_TAX_AMOUNT": "CASE WHEN k % 10 = 0 THEN 0 WHEN k % 10 < 9 THEN round(value * 100) END",
+        "PRICE_WITH_TAX_CURRENCY": "elt(k % 4 + 1, 'USD', 'GBP', 'AUD', NULL)",
+        "IS_TRIAL": "k % 2 = 0",
+        "TRIAL_DAYS": "k % 8",
+        "REVOKED": "k % 7 = 0",
+        "CANCELLED": "k % 6 = 0",
+        "SKU": "concat('sku-', k % 5)",
+    }
+    payload = {
+        "action": "CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'error' THEN 6 WHEN 'signup' THEN 7 ELSE -1 END",
+        "cid": cid,
+        "progress": "floor(value * 10)",
+        "video": "k % 5",
     }
-    action = (
-        F.when(kind == "view", 2).when(kind == "click", 3).when(kind == "error", 6)
-        .when(kind == "signup", 7).otherwise(-1)
-    )
-    payload = {"action": action, "cid": cid, "progress": F.floor(F.col("value") * 10), "video": k % 5}
     top = {
-        "clientIp": _text("10.0.", user % 7, ".", k),
-        "country": _pick(user % 4, "GB", "US", "FR", None),
-        "customerId": user,
-        "realm": _text("NATION_", user % 30),
-        "town": _text("T", user % 13),
-        "ts": F.col("ts"),
+        "clientIp": "concat('10.0.', user_id % 7, '.', k)",
+        "country": "elt(int(user_id % 4) + 1, 'GB', 'US', 'FR', NULL)",
+        "customerId": "user_id",
+        "realm": "concat('NATION_', user_id % 30)",
+        "town": "concat('T', user_id % 13)",
+        "ts": "ts",
     }
-    return _event_rows(rows, data, payload, top, *keep)
+    return _event_rows(events(spark, sf_dir), data, payload, top, *keep)
 
 
 def catalogue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One catalogue event per row of ``part``; its type follows the part's type."""
-    rows = table(spark, sf_dir, "part")
-    key, size, kind = F.col("p_partkey"), F.col("p_size"), F.col("p_type")
-    small = (key % 2_000_000_000).cast("int")
-    ts = F.timestamp_seconds(F.lit(1704067200) + key * 60)
+    small = "p_partkey % 2000000000"
+    start = "TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, int(p_partkey))"
     video = {
-        "title": F.col("p_name"),
-        "description": F.col("p_brand"),
-        "eventId": key,
-        "tournamentId": size,
-        "propertyId": size % 10,
-        "sportId": size % 5,
-        "deleted": size % 2 == 0,
-        "geoRestriction": F.struct(
-            _pick(size % 2, "WHITELIST", "BLACKLIST").alias("geoRestrictionType"),
-            F.array(F.lit("US"), F.col("p_brand"), F.lit("GB")).alias("countries"),
-        ),
-        "updatedAt": F.timestamp_seconds(F.lit(1704153600) + key * 60),
-        "startDate": ts,
-        "endDate": F.timestamp_seconds(F.lit(1704067200) + key * 60 + size * 61),
-        "thumbnailUrl": _text("http://thumbs.example/", key),
-        "thumbnail": _text("thumb-", key),
+        "title": "p_name",
+        "description": "p_brand",
+        "eventId": "p_partkey",
+        "tournamentId": "p_size",
+        "propertyId": "p_size % 10",
+        "sportId": "p_size % 5",
+        "deleted": "p_size % 2 = 0",
+        "geoRestriction": """named_struct(
+            'geoRestrictionType', elt(p_size % 2 + 1, 'WHITELIST', 'BLACKLIST'), 'countries', array('US', p_brand, 'GB'))""",
+        "updatedAt": f"{start} + INTERVAL 1 DAY",
+        "startDate": start,
+        "endDate": f"{start} + make_interval(0, 0, 0, 0, 0, 0, p_size * 61)",
+        "thumbnailUrl": "concat('http://thumbs.example/', p_partkey)",
+        "thumbnail": "concat('thumb-', p_partkey)",
         "vodDveId": small,
-        "draft": size % 4 == 0,
-        "duration": size * 60,
-        "tags": F.concat(F.split("p_name", " "), F.array("p_type")),
+        "draft": "p_size % 4 = 0",
+        "duration": "p_size * 60",
+        "tags": "array_append(split(p_name, ' '), p_type)",
     }
-    types = (
-        F.when(kind == "ECONOMY", "NEW_VOD_FROM_DVE").when(kind.isin("SMALL", "MEDIUM"), "UPDATED_VOD")
-        .when(kind.isin("LARGE", "PROMO"), "LIVESTREAMING_EVENT_UPDATED").otherwise("OK")
-    )
     data_type = EVENT["payload"].dataType["data"].dataType
-    data = {"TA": types, "v": _struct(data_type["v"].dataType, **video), "vid": small}
-    return _event_rows(rows, data, {"action": F.lit(-1)}, {"realm": _text("NATION_", size % 30), "ts": ts})
+    data = {
+        "TA": """CASE WHEN p_type = 'ECONOMY' THEN 'NEW_VOD_FROM_DVE' WHEN p_type IN ('SMALL', 'MEDIUM') THEN 'UPDATED_VOD'
+            WHEN p_type IN ('LARGE', 'PROMO') THEN 'LIVESTREAMING_EVENT_UPDATED' ELSE 'OK' END""",
+        "v": _struct(data_type["v"].dataType, video),
+        "vid": small,
+    }
+    top = {"realm": "concat('NATION_', p_size % 30)", "ts": start}
+    return _event_rows(table(spark, sf_dir, "part"), data, {"action": "-1"}, top)
 
 
 def realms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,48 +190,35 @@ def experiment_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON message record per row of ``events``: event_id, record."""
-    rows = events(spark, sf_dir)
-    k, kind, at = F.col("k"), F.col("event_type"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    mail, view = kind == "error", kind == "view"
-    value = (
-        F.when((kind == "purchase") & (k == 50), "unknown")
-        .when(kind == "purchase", F.round("value").cast("int").cast("string"))
-        .when(kind == "click", (k % 5 + 1).cast("string"))
-    )
-    experiment = F.struct(
-        _text("e", k % 7).alias("experiment_id"), _text("v", k % 40).alias("variant_id")
-    )
-    none = F.array().cast("array<struct<experiment_id: string, variant_id: string>>")
-    record = F.struct(
-        _pick_by(kind, signup="REGISTER_SUCCESS", purchase="PURCHASE_CONFIRMATION", click="STREAM_RATING").alias("event_name"),
-        F.when(view, "VIDEO_HB").alias("message_type"),
-        F.when(mail, "email-delivery").alias("role"),
-        F.when(~mail, _text("u", F.col("user_id"))).alias("user_id"),
-        F.when(view | (kind == "click"), _text("p", k % 10)).alias("product_id"),
-        F.when(view & (k % 9 > 0), k).alias("update_interval"),
-        value.alias("event_value"),
-        F.when(kind == "purchase", _text("sku", k % 3)).alias("event_cat_sku"),
-        F.when(k % 2 == 1, k / 2).alias("latitude"),
-        F.when(k % 4 == 1, k / 4).alias("longitude"),
-        F.when(k % 3 == 0, none).otherwise(F.array(experiment)).alias("experiments"),
-        F.when(mail & (k % 4 > 0), _text("m", F.col("event_id"))).alias("message_id"),
-        F.when(mail, _text("pm", k)).alias("provider_message_id"),
-        F.when(mail & (k % 5 > 0), _text("r", F.col("user_id"))).alias("recipient"),
-        F.when(mail, _pick(k % 2, "delivered", "bounced")).alias("cmd"),
-        F.when(mail, (k + 200).cast("string")).alias("status_code"),
-        F.when(mail & (k % 6 > 0), _text("note ", k)).alias("data"),
-        F.when(mail & (k % 2 == 0), at).alias("smtp_timestamp"),
-        F.when(mail & (k % 2 == 1), at).alias("timestamp"),
-        at.alias("sent_at"),
-    )
-    return rows.select("event_id", F.to_json(record).alias("record"))
-
-
-def _pick_by(kind: Column, **names: str) -> Column:
-    chosen = F.lit(None).cast("string")
-    for value, name in names.items():
-        chosen = F.when(kind == value, name).otherwise(chosen)
-    return chosen
+    mail, view = "event_type = 'error'", "event_type = 'view'"
+    at = "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+    fields = {
+        "event_name": """CASE event_type WHEN 'signup' THEN 'REGISTER_SUCCESS' WHEN 'purchase' THEN 'PURCHASE_CONFIRMATION'
+            WHEN 'click' THEN 'STREAM_RATING' END""",
+        "message_type": f"if({view}, 'VIDEO_HB', NULL)",
+        "role": f"if({mail}, 'email-delivery', NULL)",
+        "user_id": f"if({mail}, NULL, concat('u', user_id))",
+        "product_id": "if(event_type IN ('view', 'click'), concat('p', k % 10), NULL)",
+        "update_interval": f"if({view} AND k % 9 > 0, k, NULL)",
+        "event_value": """CASE WHEN event_type = 'purchase' AND k = 50 THEN 'unknown'
+            WHEN event_type = 'purchase' THEN string(int(round(value))) WHEN event_type = 'click' THEN string(k % 5 + 1) END""",
+        "event_cat_sku": "if(event_type = 'purchase', concat('sku', k % 3), NULL)",
+        "latitude": "if(k % 2 = 1, k / 2, NULL)",
+        "longitude": "if(k % 4 = 1, k / 4, NULL)",
+        "experiments": """filter(array(named_struct('experiment_id', concat('e', k % 7), 'variant_id', concat('v', k % 40))),
+            x -> k % 3 > 0)""",
+        "message_id": f"if({mail} AND k % 4 > 0, concat('m', event_id), NULL)",
+        "provider_message_id": f"if({mail}, concat('pm', k), NULL)",
+        "recipient": f"if({mail} AND k % 5 > 0, concat('r', user_id), NULL)",
+        "cmd": f"if({mail}, elt(k % 2 + 1, 'delivered', 'bounced'), NULL)",
+        "status_code": f"if({mail}, string(k + 200), NULL)",
+        "data": f"if({mail} AND k % 6 > 0, concat('note ', k), NULL)",
+        "smtp_timestamp": f"if({mail} AND k % 2 = 0, {at}, NULL)",
+        "timestamp": f"if({mail} AND k % 2 = 1, {at}, NULL)",
+        "sent_at": at,
+    }
+    record = ", ".join(f"'{name}', {sql}" for name, sql in fields.items())
+    return events(spark, sf_dir).selectExpr("event_id", f"to_json(named_struct({record})) AS record")
 
 
 def sent_at() -> Column:
