@@ -40,14 +40,14 @@ def _key_hash(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of all rows: at most ``1 / share`` values.
+    """Hashes of the keys that hold at least ``share`` of the rows with a key: at most ``1 / share``.
 
     The frequent-items sketch has a fixed size and merges on the map side. It may name a key that
     is a little below the share, which costs nothing but a few copied rows.
     """
     most = int(1 / share)
     sketch = F.expr(f"approx_top_k({_HASH}, {most}, {100 * most})")
-    row = df.select(_key_hash(keys).alias(_HASH)).agg(
+    row = df.na.drop(subset=keys).select(_key_hash(keys).alias(_HASH)).agg(
         sketch.alias("top"), F.count("*").alias("n")
     ).first()
     return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
@@ -82,8 +82,9 @@ def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
         if kinds[0] != kinds[1] and not all(isinstance(k, T.IntegralType) for k in kinds):
             raise TypeError(f"join key {key} has types {kinds[0]} and {kinds[1]}")
     hot = [] if left.isStreaming else hot_keys(left, keys)
+    right = right.na.drop(subset=keys)  # null keys match nothing
     if how in ("inner", "left_semi"):
-        left = left.na.drop(subset=keys)  # null keys match nothing
+        left = left.na.drop(subset=keys)
         if not hot:
             return left.join(right, keys, how)
     return _salted(left, keys, hot).join(_copied(right, keys, hot), [*keys, _SALT], how).drop(_SALT)
