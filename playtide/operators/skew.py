@@ -54,10 +54,14 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[i
 
 
 def _salted(df: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
-    """Rows of hot keys, and of null keys, get one of ``SALTS`` salts from a stable hash."""
+    """Rows of hot keys, and of null keys, get one of ``SALTS`` salts.
+
+    The salt comes from the row and its input partition: a task that runs again gives the same
+    salts, and equal copies of a row in different partitions still spread.
+    """
     is_hot = _key_hash(keys).isin(hot) if hot else F.lit(False)
     spread = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], is_hot)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
     return df.withColumn(_SALT, F.when(spread, salt).otherwise(0))
 
 

@@ -1,6 +1,8 @@
-"""The pipelines as jobs: read a path and stored tables, compute, append to tables.
+"""The pipelines as jobs: read an event log and stored tables, compute, append to tables.
 
-Each job takes a session, the table store and its paths. With ``dry_run=True`` nothing is written
+Each job takes a session, the table store and the event log: a path of packed JSON, or a frame of events.
+Several jobs over the same large log are best given a frame that was parsed once and stored as
+Parquet, from which each job reads just its columns. With ``dry_run=True`` nothing is written
 and the job gives a preview of what it would write, by table.
 """
 
@@ -17,6 +19,7 @@ from playtide.sources.csv import read_typed_csv, read_wide_csv, read_zipped_csv
 from playtide.sources.packed_json import read_json, read_packed_json
 from playtide.sources.tables import TableStore, preview
 
+Log = str | DataFrame
 Previews = dict[str, DataFrame]
 
 
@@ -40,54 +43,56 @@ _PLAY = (
 
 
 def _log(
-    spark: SparkSession, store: TableStore, path: str, *fields: str
+    spark: SparkSession, store: TableStore, log: Log, *fields: str
 ) -> tuple[DataFrame, DataFrame]:
+    if isinstance(log, DataFrame):
+        return log, store.scan("realm")
     schema = schemas.pick_fields(schemas.EVENT, *fields) if fields else schemas.EVENT
-    return read_packed_json(spark, path, schema), store.scan("realm")
+    return read_packed_json(spark, log, schema), store.scan("realm")
 
 
-def event_times(spark: SparkSession, store: TableStore, path: str, dry_run: bool = False) -> Previews:
+def event_times(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
     times = catalogue.event_times(
-        *_log(spark, store, path, "realm", "ts", _TYPE, "payload.data.DGE_EVENT_ID")
+        *_log(spark, store, log, "realm", "ts", _TYPE, "payload.data.DGE_EVENT_ID")
     )
     return _emit(store, {"event_start": times.starts, "event_finish": times.finishes}, dry_run)
 
 
 def date_buckets(
-    spark: SparkSession, store: TableStore, path: str, bucket_path: str, dry_run: bool = False
+    spark: SparkSession, store: TableStore, log: Log, bucket_path: str, dry_run: bool = False
 ) -> Previews:
-    buckets = bucketing.bucket_events(*_log(spark, store, path))
+    buckets = bucketing.bucket_events(*_log(spark, store, log))
     if dry_run:
         return {"events": preview(buckets.events), "per_date": buckets.per_date}
     bucketing.write_buckets(buckets.events, bucket_path)
     return {"per_date": buckets.per_date}
 
 
-def live_catalogue(spark: SparkSession, store: TableStore, path: str, dry_run: bool = False) -> Previews:
-    log = _log(spark, store, path, "realm", "ts", _TYPE, "payload.data.v")
-    return _emit(store, {"live_catalogue": catalogue.live_catalogue(*log).result}, dry_run)
+def live_catalogue(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
+    inputs = _log(spark, store, log, "realm", "ts", _TYPE, "payload.data.v")
+    return _emit(store, {"live_catalogue": catalogue.live_catalogue(*inputs).result}, dry_run)
 
 
-def vod_catalogue(spark: SparkSession, store: TableStore, path: str, dry_run: bool = False) -> Previews:
-    log = _log(spark, store, path, "realm", "ts", _TYPE, "payload.data.v", "payload.data.vid")
-    return _emit(store, {"vod_catalogue": catalogue.vod_catalogue(*log).result}, dry_run)
+def vod_catalogue(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
+    inputs = _log(spark, store, log, "realm", "ts", _TYPE, "payload.data.v", "payload.data.vid")
+    return _emit(store, {"vod_catalogue": catalogue.vod_catalogue(*inputs).result}, dry_run)
 
 
-def logins(spark: SparkSession, store: TableStore, path: str, dry_run: bool = False) -> Previews:
-    log = _log(spark, store, path, *_WHO, "clientIp", "payload.action", _TYPE, "payload.data.device")
-    return _emit(store, {"user_logins": accounts.logins(*log).result}, dry_run, if_any=True)
+def logins(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
+    inputs = _log(spark, store, log, *_WHO, "clientIp", "payload.action", _TYPE, "payload.data.device")
+    return _emit(store, {"user_logins": accounts.logins(*inputs).result}, dry_run, if_any=True)
 
 
-def signups(spark: SparkSession, store: TableStore, path: str, dry_run: bool = False) -> Previews:
-    log = _log(spark, store, path, *_WHO, _TYPE, "payload.data.device")
-    return _emit(store, {"signups": accounts.signups(*log).result}, dry_run, if_any=True)
+def signups(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
+    inputs = _log(spark, store, log, *_WHO, _TYPE, "payload.data.device")
+    return _emit(store, {"signups": accounts.signups(*inputs).result}, dry_run, if_any=True)
 
 
 def live_plays(
-    spark: SparkSession, store: TableStore, path: str, dry_run: bool = False, keep: str = "append"
+    spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, keep: str = "append"
 ) -> Previews:
     """New and extended live plays. ``keep="latest"`` rewrites the table with one row per play."""
-    events, realms = _log(spark, store, path, *_PLAY)
+    events, realms = _log(spark, store, log, *_PLAY)
     stored = store.find("live_play")
     if keep == "latest" and not dry_run:
         store.replace(plays.all_live_plays(events, realms, stored), "live_play")
@@ -96,10 +101,10 @@ def live_plays(
 
 
 def vod_plays(
-    spark: SparkSession, store: TableStore, path: str, dry_run: bool = False, keep: str = "append"
+    spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, keep: str = "append"
 ) -> Previews:
     """New and extended on-demand plays. ``keep="latest"`` rewrites the table with one row per play."""
-    events, realms = _log(spark, store, path, *_PLAY)
+    events, realms = _log(spark, store, log, *_PLAY)
     stored = store.find("vod_play")
     if keep == "latest" and not dry_run:
         store.replace(plays.all_vod_plays(events, realms, stored), "vod_play")
@@ -107,14 +112,14 @@ def vod_plays(
     return _emit(store, {"vod_play": plays.vod_plays(events, realms, stored).result}, dry_run)
 
 
-def session_durations(spark: SparkSession, store: TableStore, path: str, dry_run: bool = False) -> Previews:
-    rows = plays.session_durations(*_log(spark, store, path, *_PLAY)).result
+def session_durations(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
+    rows = plays.session_durations(*_log(spark, store, log, *_PLAY)).result
     return _emit(store, {"session_duration": rows}, dry_run)
 
 
-def purchases(spark: SparkSession, store: TableStore, bucket_path: str, dry_run: bool = False) -> Previews:
-    """Payments and subscriptions from date-bucketed events."""
-    events = read_json(spark, bucket_path, schemas.BUCKETED_EVENT)
+def purchases(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
+    """Payments and subscriptions from date-bucketed events, given by their path or as a frame."""
+    events = log if isinstance(log, DataFrame) else read_json(spark, log, schemas.BUCKETED_EVENT)
     bought = accounts.purchases(events)
     return _emit(store, {"payment": bought.payments, "subscription": bought.subscriptions}, dry_run)
 

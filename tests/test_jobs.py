@@ -2,7 +2,8 @@ import json
 
 import pytest
 
-from playtide.plans import jobs
+from playtide.plans import jobs, plays
+from playtide.sources.packed_json import read_packed_json
 from playtide.sources.tables import FolderStore
 from test_packed_json import THREE
 
@@ -10,7 +11,7 @@ from test_packed_json import THREE
 @pytest.fixture
 def store(spark, tmp_path):
     store = FolderStore(spark, str(tmp_path / "warehouse"))
-    (tmp_path / "realm.csv").write_text("realm_id,name\n1,dce.pbr\n2,dce.fivb\n")
+    (tmp_path / "realm.csv").write_text("realm_id,name\n1,north.one\n2,north.two\n")
     jobs.load_lookup(spark, store, "realm", str(tmp_path / "realm.csv"))
     return store
 
@@ -86,3 +87,13 @@ def test_tournament_and_backfill_loads(spark, store, tmp_path):
     jobs.load_lookup(spark, store, "sport_property", str(tmp_path / "p.csv"))
     jobs.load_tournaments(spark, store, str(tmp_path / "t.csv"))
     assert [tuple(r) for r in store.scan("sport_property_tournament").collect()] == [(5, 1, 10, "Cup")]
+
+
+def test_jobs_take_a_frame_parsed_once(spark, store, tmp_path):
+    read_packed_json(spark, write(tmp_path, THREE)).write.parquet(str(tmp_path / "parsed"))
+    events = spark.read.parquet(str(tmp_path / "parsed"))
+    jobs.vod_plays(spark, store, events)
+    assert store.scan("vod_play").count() == 3
+    plan = plays.vod_plays(events, store.scan("realm")).result._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<country:string,customerId:string,payload:struct<action:tinyint,cid:string,data:struct<star" in plan
+    assert "EqualTo(payload.action,2)" in plan

@@ -79,3 +79,9 @@ def test_tournaments_of_unknown_properties_drop_out(spark):
     rows = spark.createDataFrame([(1, 10, "Cup"), (9, 11, "Other")], "property_id int, tournament_id int, name string")
     properties = spark.createDataFrame([(5, 1, "League")], "sport_id int, property_id int, name string")
     assert [tuple(r) for r in lookup.tournaments(rows, properties).collect()] == [(5, 1, 10, "Cup")]
+
+
+def test_equal_copies_of_a_row_spread_too(spark):
+    copies = spark.range(0, 4000, 1, 16).select(F.lit("hot").alias("k"), F.lit(1).alias("i"))
+    hot = hot_keys(copies, ["k"])
+    assert skew._salted(copies, ["k"], hot).select("__salt").distinct().count() > 5

@@ -18,9 +18,9 @@ def event(action, cid, started, video, progress, country, realm, customer, ts):
 
 
 THREE = [
-    event(2, "19ade409", 1528672255490, 11345, 5654, "US", "dce.pbr", "qzbU", "2018-06-11 00:25:54"),
-    event(2, "b55088a1", 1528676388770, 11291, 359, "FR", "dce.fivb", "K.pM", "2018-06-11 00:25:56"),
-    event(2, "704c14a3", 1528666440591, 11345, 10315, "US", "dce.pbr", "f7bm", "2018-06-11 00:25:58"),
+    event(2, "19ade409", 1528672255490, 11345, 5654, "US", "north.one", "qzbU", "2018-06-11 00:25:54"),
+    event(2, "b55088a1", 1528676388770, 11291, 359, "FR", "north.two", "K.pM", "2018-06-11 00:25:56"),
+    event(2, "704c14a3", 1528666440591, 11345, 10315, "US", "north.one", "f7bm", "2018-06-11 00:25:58"),
 ]
 
 
@@ -50,7 +50,7 @@ def test_three_nested_events(spark, tmp_path, layout):
     rows = read(spark, tmp_path, content, layout, EVENT)
     assert [r.payload.video for r in rows] == [11345, 11291, 11345]
     assert [r.payload.progress for r in rows] == [5654, 359, 10315]
-    assert [r.realm for r in rows] == ["dce.pbr", "dce.fivb", "dce.pbr"]
+    assert [r.realm for r in rows] == ["north.one", "north.two", "north.one"]
     assert [r.country for r in rows] == ["US", "FR", "US"]
     assert [r.payload.data.startedAt for r in rows] == ["1528672255490", "1528676388770", "1528666440591"]
     assert str(rows[0].ts) == "2018-06-11 00:25:54"

@@ -124,3 +124,10 @@ def test_rates_of_one_day(spark):
     assert [str(r.rate) for r in exchange_rates(wide, day="2018/01/02").collect()] == ["1.2000"]
     with pytest.raises(ValueError):
         exchange_rates(wide, day="2018/01/03")
+
+
+def test_the_time_range_reaches_the_scan(spark, payments, tmp_path):
+    payments.write.parquet(str(tmp_path / "p"))
+    rows = ops.in_time_range(spark.read.parquet(str(tmp_path / "p")), "2018-01-01 00:00:00", "2018-01-01 01:00:00")
+    plan = ops.revenue_by_window(rows, "hour")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2018-01-01" in plan and "LessThan(ts,2018-01-01" in plan
