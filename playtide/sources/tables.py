@@ -20,6 +20,7 @@ class FolderStore:
     folder per micro-batch, so a replayed batch replaces itself; ``replace`` writes a
     new version beside the old one and then names it in a small list of versions, so a table can
     be rewritten from its own rows and a reader sees either all of the old rows or all of the new.
+    The version before the old one makes room for the new one.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
@@ -28,6 +29,9 @@ class FolderStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _slot(self, table: str, version: int) -> str:
+        return f"{self.path(table)}__v{version % 2}"
+
     def _read(self, path: str) -> DataFrame | None:
         try:
             return self.spark.read.format(self.fmt).load(path)
@@ -44,7 +48,7 @@ class FolderStore:
         """The table's rows, or None when nothing was written yet."""
         version = self._version(table)
         if version is not None:
-            return self._read(f"{self.path(table)}__v{version}")
+            return self._read(self._slot(table, version))
         return self._read(self.path(table))
 
     def scan(self, table: str) -> DataFrame:
@@ -69,7 +73,7 @@ class FolderStore:
 
     def replace(self, df: DataFrame, table: str) -> None:
         version = (self._version(table) or 0) + 1
-        df.write.format(self.fmt).mode("overwrite").save(f"{self.path(table)}__v{version}")
+        df.write.format(self.fmt).mode("overwrite").save(self._slot(table, version))
         named = self.spark.range(1).select(F.lit(version).alias(_VERSION))
         named.write.format(self.fmt).mode("append").save(f"{self.path(table)}__versions")
 

@@ -93,6 +93,9 @@ def test_stores(spark, tmp_path, kind):
     store.replace(rows(spark, 1, 2), "r")
     store.replace(store.scan("r").select((F.col("n") * 10).alias("n")), "r")
     assert values(store.scan("r")) == [10, 20]
+    for _ in range(3):
+        store.replace(store.scan("r").select((F.col("n") + 1).alias("n")), "r")
+    assert values(store.scan("r")) == [13, 23]
 
 
 def test_a_missing_table_is_an_error(spark, tmp_path):
