@@ -239,11 +239,10 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_text(lines: DataFrame, label: str) -> str:
-    """Write text lines to the shared folder in two runs, so that a stream sees several files."""
+    """Write text lines to the shared folder in two parts, so that a stream sees several files."""
     path = work_dir(lines.sparkSession, label)
     half = F.pmod(F.xxhash64("value"), F.lit(2))
-    for part in (0, 1):
-        lines.where(half == part).write.mode("append").text(path)
+    lines.select("value", half.alias("half")).write.partitionBy("half").text(path)
     return path
 
 
@@ -251,7 +250,7 @@ def text_stream(spark: SparkSession, path: str) -> DataFrame:
     """The files of a folder as a stream of about two micro-batches."""
     files = len(spark.read.text(path).inputFiles())
     reader = spark.readStream.option("maxFilesPerTrigger", str(max(1, math.ceil(files / 2))))
-    return reader.option("lineSep", "\n").text(path)
+    return reader.option("lineSep", "\n").text(path).select("value")
 
 
 def plain_times(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from playtide.operators.lookup import replace_by_name
 from playtide.sources.streams import read_text_stream
 from playtide.sources.tables import FolderStore
 from playtide.streaming import fanout, messages, text
@@ -140,3 +141,13 @@ def test_console_word_count_runs(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert query.lastProgress is not None
+
+
+def test_a_large_lookup_joins_a_stream_without_a_broadcast(spark, names, tmp_path):
+    put(tmp_path / "in", "a", "e1", "e2")
+    ids = read_text_stream(spark, str(tmp_path / "in")).select(F.nullif("value", F.lit("e2")).alias("e"))
+    named = replace_by_name(ids, names, "e", small=False)
+    store = FolderStore(spark, str(tmp_path / "tables"))
+    query = named.writeStream.foreachBatch(lambda batch, n: store.write_batch(batch, "t", n))
+    fanout.run_to_end([query.option("checkpointLocation", str(tmp_path / "s")).trigger(**NOW).start()])
+    assert sorted(r.e for r in store.scan("t").collect()) == ["", "Play"]
