@@ -83,18 +83,18 @@ def start_fan_out(
     def route(batch: DataFrame, batch_id: int) -> None:
         write_branches(batch, tables, store, batch_id, now)
 
-    queries.append(_start(messages, "append", route, f"{checkpoint}/branches", trigger))
+    queries.append(start_query(messages, "append", route, f"{checkpoint}/branches", trigger))
     if "video_play" in tables:
         def totals(batch: DataFrame, batch_id: int) -> None:
             store.write_batch(batch, "video_play", batch_id)
 
         queries.append(
-            _start(watch_totals(messages, now), "update", totals, f"{checkpoint}/video_play", trigger)
+            start_query(watch_totals(messages, now), "update", totals, f"{checkpoint}/video_play", trigger)
         )
     return queries
 
 
-def _start(
+def start_query(
     df: DataFrame, mode: str, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None
 ) -> StreamingQuery:
     writer = df.writeStream.outputMode(mode).foreachBatch(write)
@@ -162,7 +162,7 @@ def start_rewrite(
     def write(batch: DataFrame, batch_id: int) -> None:
         rewrite_totals(batch.where(branch.usable()), store, table, batch_id)
 
-    return _start(rows, "append", write, checkpoint, trigger)
+    return start_query(rows, "append", write, checkpoint, trigger)
 
 
 def start_batch_counts(
@@ -173,4 +173,4 @@ def start_batch_counts(
     def write(batch: DataFrame, batch_id: int) -> None:
         store.write_batch(batch.agg(F.count("*").alias("n")), table, batch_id)
 
-    return _start(stream, "append", write, checkpoint, trigger)
+    return start_query(stream, "append", write, checkpoint, trigger)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from playtide.sources.tables import TableStore
-from playtide.streaming.fanout import _start
+from playtide.streaming.fanout import start_query
 
 # First words that have a table of their own.
 ROUTES = {"ONE": "table_one", "TWO": "table_two"}
@@ -47,7 +47,7 @@ def start_word_count(
     def write(batch: DataFrame, batch_id: int) -> None:
         store.replace(batch, table)
 
-    return _start(word_count(lines, delimiter), "complete", write, checkpoint, trigger)
+    return start_query(word_count(lines, delimiter), "complete", write, checkpoint, trigger)
 
 
 def start_console_word_count(lines: DataFrame, checkpoint: str, delimiter: str = " ") -> StreamingQuery:
@@ -70,4 +70,4 @@ def start_routes(
         finally:
             batch.unpersist()
 
-    return _start(first_word_routes(lines), "append", write, checkpoint, trigger)
+    return start_query(first_word_routes(lines), "append", write, checkpoint, trigger)

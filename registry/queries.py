@@ -457,9 +457,11 @@ def millis_to_ts(spark, sf_dir):
 
 @query
 def str_to_map(spark, sf_dir):
-    line = F.concat_ws("&", F.concat(F.lit("id="), "event_id"), F.concat(F.lit("type="), "event_type"), F.concat(F.lit("k="), "k"), F.concat(F.lit("id="), "user_id"))
+    line = F.expr("concat('id=', event_id, '&type=', event_type, '&k=', k, '&id=', user_id)")
     pairs = inputs.events(spark, sf_dir).select("event_id", fields.key_values(line).alias("m"))
-    return pairs.select("event_id", F.col("m")["id"].alias("id"), F.col("m")["type"].alias("type"), F.col("m")["k"].alias("k"), F.size("m").alias("pairs"))
+    return pairs.select(
+        "event_id", *[F.col("m")[key].alias(key) for key in ("id", "type", "k")], F.size("m").alias("pairs")
+    )
 
 
 # --- text ----------------------------------------------------------------------------------

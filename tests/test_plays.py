@@ -1,5 +1,4 @@
 from events import event, log, realms, ts
-from pyspark.sql import functions as F
 
 from playtide.operators.plays import add_durations, merge_watch_time
 from playtide.plans.plays import all_live_plays, all_vod_plays, live_plays, session_durations, vod_plays
