@@ -88,7 +88,10 @@ def purchases(
     The id is a digest of the row, so both tables agree even when they are computed in separate
     jobs or some of their tasks run again.
     """
-    rows = distinct_purchases(events, realms, id_mode)
+    return split_purchases(distinct_purchases(events, realms, id_mode))
+
+
+def split_purchases(rows: DataFrame) -> Purchases:
     payments = rows.select(
         "customer_id", "realm_id", "town", "country", "ts", "payment_provider",
         F.col("amount_with_tax").cast("int").alias("amount_with_tax"),

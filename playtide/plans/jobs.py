@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from playtide import schemas
-from playtide.operators.lookup import tournaments
+from playtide.operators.lookup import of_action, of_type, tournaments
 from playtide.plans import accounts, bucketing, catalogue, plays, revenue
 from playtide.sources.csv import read_typed_csv, read_wide_csv, read_zipped_csv
 from playtide.sources.packed_json import read_json, read_packed_json
-from playtide.sources.tables import TableStore, preview
+from playtide.sources.tables import TableStore, preview, staged
 
 Log = str | DataFrame
 Previews = dict[str, DataFrame]
@@ -51,10 +51,16 @@ def _log(
     return read_packed_json(spark, log, schema), store.scan("realm")
 
 
+def _parsed_once(events: DataFrame, log: Log, wanted: Column, dry_run: bool) -> DataFrame:
+    """The wanted events of a log; those of a JSON path are staged, so that branches do not parse them again."""
+    chosen = events.where(wanted)
+    return chosen if dry_run or isinstance(log, DataFrame) else staged(chosen, "events")
+
+
 def event_times(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
-    times = catalogue.event_times(
-        *_log(spark, store, log, "realm", "ts", _TYPE, "payload.data.DGE_EVENT_ID")
-    )
+    events, realms = _log(spark, store, log, "realm", "ts", _TYPE, "payload.data.DGE_EVENT_ID")
+    changes = _parsed_once(events, log, of_type(catalogue.WENT_LIVE, catalogue.WENT_OFF), dry_run)
+    times = catalogue.event_times(changes, realms)
     return _emit(store, {"event_start": times.starts, "event_finish": times.finishes}, dry_run)
 
 
@@ -97,6 +103,8 @@ def live_plays(
     if keep == "latest" and not dry_run:
         store.replace(plays.all_live_plays(events, realms, stored), "live_play")
         return {}
+    if stored is not None:
+        events = _parsed_once(events, log, of_action(schemas.LIVE_WATCHING), dry_run)
     return _emit(store, {"live_play": plays.live_plays(events, realms, stored).result}, dry_run)
 
 
@@ -109,6 +117,8 @@ def vod_plays(
     if keep == "latest" and not dry_run:
         store.replace(plays.all_vod_plays(events, realms, stored), "vod_play")
         return {}
+    if stored is not None:
+        events = _parsed_once(events, log, of_action(schemas.VOD_PROGRESS), dry_run)
     return _emit(store, {"vod_play": plays.vod_plays(events, realms, stored).result}, dry_run)
 
 
@@ -120,7 +130,8 @@ def session_durations(spark: SparkSession, store: TableStore, log: Log, dry_run:
 def purchases(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
     """Payments and subscriptions from date-bucketed events, given by their path or as a frame."""
     events = log if isinstance(log, DataFrame) else read_json(spark, log, schemas.BUCKETED_EVENT)
-    bought = accounts.purchases(events)
+    rows = accounts.distinct_purchases(events)
+    bought = accounts.split_purchases(rows if dry_run else staged(rows, "purchases"))
     return _emit(store, {"payment": bought.payments, "subscription": bought.subscriptions}, dry_run)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
+from playtide.session import work_dir
+
 _BATCH, _VERSION = "batch_id", "version"
 
 
@@ -13,6 +15,17 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
     return df.limit(n)
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame's rows, written once to the shared work folder and read back as Parquet.
+
+    For rows that are costly to compute and used by more than one branch: the branches read just
+    their columns, and a lost executor costs no more than its tasks.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class FolderStore:
     """One folder of Parquet (or another file format) per table.
 
