@@ -9,7 +9,7 @@ ev AS (
     '10.0.' || (user_id % 7) || '.' || k AS client_ip,
     CASE user_id % 4 WHEN 0 THEN 'GB' WHEN 1 THEN 'US' WHEN 2 THEN 'FR' END AS country,
     CAST(user_id AS VARCHAR) AS customer_id,
-    CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'error' THEN 6 WHEN 'signup' THEN 7 ELSE -1 END AS action,
+    CAST(CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'error' THEN 6 WHEN 'signup' THEN 7 ELSE -1 END AS TINYINT) AS action,
     CASE WHEN k = 1 THEN '' WHEN k > 1 THEN 's' || user_id || '-' || strftime(ts, '%Y%m%d') END AS cid,
     CASE event_type
       WHEN 'signup' THEN 'REGISTER_USER'
@@ -204,8 +204,8 @@ SELECT CAST(NULL AS VARCHAR) AS customer_id, count(*) AS records, CAST(sum(lengt
 FROM lines WHERE regexp_matches(line, '[^ \\t\\n\\f\\r\\v]')""",
     "typed_csv_load": "SELECT n_nationkey AS realm_id, n_name AS name FROM nation",
     "vod_catalogue_backfill": """
-SELECT p_partkey AS video_id, p_partkey + 1000 AS video_dve_id, p_size % 30 AS realm_id,
-  p_name || ', "' || p_brand || '"' AS title, p_type AS description, p_size * 60 AS duration,
+SELECT p_partkey AS video_id, p_partkey + 1000 AS video_dve_id, CAST(p_size % 30 AS SMALLINT) AS realm_id,
+  p_name || ', "' || p_brand || '"' AS title, p_type AS description, CAST(p_size * 60 AS BIGINT) AS duration,
   'http://thumbs.example/' || p_partkey AS thumbnail_url, p_size % 2 <> 0 AS deleted, p_size % 3 <> 0 AS draft,
   CAST(NULL AS VARCHAR) AS tags, TIMESTAMP '1970-01-01 00:00:00' AS imported_at, TIMESTAMP '1970-01-01 00:00:00' AS updated_at
 FROM part""",
@@ -263,15 +263,15 @@ FROM res WHERE realm_id IS NOT NULL AND action = 6""",
 WITH {RESOLVED} SELECT realm_id, town, country, ts, device, customer_id
 FROM res WHERE realm_id IS NOT NULL AND ta = 'REGISTER_USER'""",
     "live_catalogue": f"""
-SELECT n.n_nationkey AS realm_id, p_name AS title, p_partkey AS event_id, p_size % 5 AS sport_id, p_size AS tournament_id,
-  p_size % 10 AS property_id, p_size * 61 AS duration, 'thumb-' || p_partkey AS thumbnail_url, p_size % 2 = 0 AS deleted,
+SELECT n.n_nationkey AS realm_id, p_name AS title, p_partkey AS event_id, CAST(p_size % 5 AS BIGINT) AS sport_id,
+  CAST(p_size AS BIGINT) AS tournament_id, CAST(p_size % 10 AS BIGINT) AS property_id, CAST(p_size * 61 AS BIGINT) AS duration, 'thumb-' || p_partkey AS thumbnail_url, p_size % 2 = 0 AS deleted,
   CASE p_size % 2 WHEN 0 THEN 'WHITELIST' ELSE 'BLACKLIST' END AS geo_restriction_type,
   array_to_string(list_sort(['US', p_brand, 'GB']), ',') AS geo_restriction_countries,
   {PART_TS} AS start_at, {PART_TS} + to_seconds(p_size * 61) AS finish_at, {PART_TS} + INTERVAL 1 DAY AS updated_at
 FROM part JOIN nation n ON {PART} WHERE p_type IN ('LARGE', 'PROMO')""",
     "vod_catalogue": f"""
-SELECT p_partkey AS video_id, p_partkey AS video_dve_id, n.n_nationkey AS realm_id, p_name AS title, p_brand AS description,
-  p_size * 60 AS duration, 'http://thumbs.example/' || p_partkey AS thumbnail_url, p_size % 2 = 0 AS deleted,
+SELECT CAST(p_partkey AS INTEGER) AS video_id, CAST(p_partkey AS INTEGER) AS video_dve_id, n.n_nationkey AS realm_id, p_name AS title, p_brand AS description,
+  CAST(p_size * 60 AS BIGINT) AS duration, 'http://thumbs.example/' || p_partkey AS thumbnail_url, p_size % 2 = 0 AS deleted,
   p_size % 4 = 0 AS draft, array_to_string(list_sort(list_append(string_split(p_name, ' '), p_type)), ',') AS tags,
   CASE WHEN p_type = 'ECONOMY' THEN {PART_TS} END AS imported_at, {PART_TS} AS updated_at
 FROM part JOIN nation n ON {PART} WHERE p_type IN ('ECONOMY', 'SMALL', 'MEDIUM')""",
