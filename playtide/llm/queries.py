@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playtide.llm import decontaminate, langid, ngram_join, secret_scan, word_bpe
+from playtide.llm import chat, decontaminate, fertility, html_blocks, langid, line_dedup, ngram_join, secret_scan, token_files, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,7 +30,7 @@ def query(sql: str | None = None):
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             on_workers(spark)
-            return build(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+            return build(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         QUERIES[build.__name__] = run
         if sql:
@@ -53,6 +53,90 @@ def op1_secret_scan(table) -> DataFrame:
     )
 
 
+# Control strings are counted by their first character: none of them begins inside another.
+@query("""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+      UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), measured AS (
+      SELECT *, length(role) + length(text) + 10
+        + len(regexp_extract_all(text, '<\\\\*(\\||/?s>|<?/?SYS>>)')) + len(regexp_extract_all(text, '\\[\\\\*/?INST\\]'))
+        + len(regexp_extract_all(text, '\\|\\\\*>')) AS chars
+      FROM turns
+    )
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      sum(chars)::BIGINT AS formatted_chars
+    FROM measured GROUP BY conv_id
+""")
+def op2_chat_format(table) -> DataFrame:
+    rows = table("conversations").select("conv_id", "turn", "role", "text")
+    own = "</s>[INST] ok [/INST]"
+    messages = F.array(*(F.struct(F.lit(r).alias("role"), F.lit(own).alias("content")) for r in ("user", chat.ASSISTANT)))
+    extra = rows.sparkSession.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), messages.alias("messages"))
+    records = rows.unionByName(extra, allowMissingColumns=True)
+    found = chat.canonical(records, ("conv_id", "turn"))
+    turns = found.select("conv_id", "turn", F.posexplode("turns").alias("place", "t")).select("conv_id", "turn", "place", "t.*")
+    back = chat.parsed(chat.formatted(turns, "conv_id", ["turn", "place"]), "conv_id")
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query("""
+    WITH pieces AS (
+      SELECT doc_id, hash(text) AS text_hash, p.piece, p.place
+      FROM documents, unnest(regexp_extract_all(text, '[^.!?\\n]+(?:[.!?]+[^.!?\\x20\\x09-\\x0D][^.!?\\n]*)*[.!?]*|[.!?\\n]+'))
+        WITH ORDINALITY AS p(piece, place)
+    ), placed AS (
+      SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id, text_hash ORDER BY place
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM pieces
+    ), words AS (
+      SELECT doc_id, pos + length(piece) - length(ltrim(piece, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS start,
+        trim(piece, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+        regexp_extract_all(piece, '[^\\x20\\x09-\\x0D]+') AS w
+      FROM placed WHERE regexp_matches(piece, '[^.!?\\n]')
+    ), units AS (
+      SELECT doc_id, start, start + length(body) AS stop,
+        translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS normal
+      FROM words WHERE len(w) >= 6 AND length(array_to_string(w, ' ')) >= 40
+    ), ranked AS (
+      SELECT *, first_value(doc_id) OVER g AS kept, row_number() OVER g AS n
+      FROM units WINDOW g AS (PARTITION BY normal ORDER BY doc_id, start)
+    )
+    SELECT doc_id, count(*) AS n_removed, sum(stop - start)::BIGINT AS chars_removed,
+      string_agg(start::BIGINT || ':' || stop::BIGINT || ':' || kept, ',' ORDER BY start) AS removed
+    FROM ranked WHERE n > 1 GROUP BY doc_id
+""")
+def op3_substring_dedup(table) -> DataFrame:
+    """The documents that lose text: what goes, with its offsets and the document that keeps it."""
+    spans = F.col("removed")
+    size = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    named = F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"], s["kept_doc_id"]))
+    return line_dedup.by_document(line_dedup.repeated(table("documents"))).select(
+        "doc_id", F.size(spans).cast("long").alias("n_removed"), size.alias("chars_removed"), F.array_join(named, ",").alias("removed"))
+
+
+@query()
+def op4_quality_fertility(table) -> DataFrame:
+    return table("documents").select("doc_id", fertility.quality(F.col("text"), PIECES).alias("q")).select("doc_id", "q.*")
+
+
+@query()
+def op7_token_files(table) -> DataFrame:
+    documents = table("documents")
+    return token_files.read(documents.sparkSession, token_files.write(documents, BYTE_BPE))
+
+
 @query()
 def op5_ngram_join(table) -> DataFrame:
     return ngram_join.groups(ngram_join.link(table("documents"))).select("doc_id", "n_shingles", "component_id")
@@ -81,3 +165,9 @@ def op10_word_bpe(table) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op9_html_blocks(table) -> DataFrame:
+    return table("pages").select("page_id", "url", html_blocks.extract(F.col("html")).alias("text")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
