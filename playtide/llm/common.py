@@ -33,26 +33,37 @@ def as_strings(texts: pa.Array) -> list[str]:
 
 
 class WordMemo:
-    """What a function gives for words, kept for at most ``limit`` words between batches.
+    """What a function gives for words, kept for about ``limit`` words between batches.
 
-    ``compute`` takes a list of unseen words and returns one value for each. The bound only limits
-    what is remembered: a word that was dropped is computed again.
+    ``compute`` takes a list of unseen words and returns one value for each. The bound only limits what is remembered:
+    when it is reached, words that were not met again since the last time are dropped and computed again if need be.
     """
 
     def __init__(self, compute: Callable[[list], Sequence], limit: int = 300_000):
-        self.compute, self.limit, self.known = compute, limit, {}
+        self.compute, self.limit, self.known, self.met = compute, limit, {}, set()
 
     def learn(self, documents: Sequence[Sequence]) -> dict:
         """A mapping that has every word of these documents."""
         words = set().union(*documents)
-        if len(self.known) + len(words) > self.limit:
-            self.known = {w: v for w in words if (v := self.known.get(w)) is not None}
-        unseen = [w for w in words if w not in self.known]
+        unseen = words.difference(self.known)
+        self.met |= words.difference(unseen)
+        if len(self.known) + len(unseen) > self.limit:
+            kept = self.met if len(self.met) < self.limit // 2 else words.difference(unseen)
+            self.known = {w: self.known[w] for w in kept}
+            self.met = set()
         if unseen:
+            unseen = list(unseen)
             self.known.update(zip(unseen, self.compute(unseen), strict=True))
         return self.known
 
 
+def byte_chars() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for 256 and what follows."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = sorted({*range(256)}.difference(printable))
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit integers, so that nearby values are far apart."""
     x = x.astype(np.uint64, copy=True)

@@ -33,11 +33,9 @@ PERCENT = 75
 PROBED = 0.4
 #: Text of a task that is worked on together in step 1; what repeats inside it is sent once.
 SCAN_BYTES = 6 << 20
-#: Entries of the table of approximate shingle counts, 2 ** COUNT_BITS; it has this size whatever the input.
-COUNT_BITS = 22
-_COUNT_CHUNK = 1 << 12
 MOST_MATCHES = 8
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 3
+SIGNATURE_LONGS = 16
 #: Bits of the filter that spares texts of documents which cannot link; larger inputs only make it less sharp.
 FILTER_BITS = (20, 26)
 
@@ -221,73 +219,56 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
 
 
-def _counts(sets: DataFrame) -> np.ndarray:
-    """Approximate number of sets that have a shingle: counts by hash, never too low, in a table of fixed size."""
-    chunks = (1 << COUNT_BITS) // _COUNT_CHUNK
-    schema = pa.schema([("chunk", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())])
-    kind = "chunk int, salt int, counts binary"
+_PARTS = tuple(f"signature_{k}" for k in range(SIGNATURE_LONGS))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, salt = np.zeros(1 << COUNT_BITS, np.int64), 0
-        for batch in batches:
-            tokens = batch.column("tokens").flatten().to_numpy().view(np.uint64)
-            slots = (tokens >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-            total += np.bincount(slots, minlength=1 << COUNT_BITS)
-            salt += int(tokens[:1].sum()) % 64
-        if total.any():
-            total = total.reshape(chunks, -1)
-            used = np.flatnonzero(total.any(axis=1))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(used, pa.int32()), pa.array(np.full(len(used), salt % 64), pa.int32()),
-                pa.array([c.tobytes() for c in total[used]], pa.binary())], schema=schema)
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist())
-        return pa.table([table.column("chunk").slice(0, 1), table.column("salt").slice(0, 1), [total.tobytes()]], schema=schema)
-
-    parts = sets.select("tokens").mapInArrow(count, kind)
-    parts = parts.groupBy("chunk", "salt").applyInArrow(add, kind).groupBy("chunk").applyInArrow(add, kind)
-    out = np.zeros((chunks, _COUNT_CHUNK), np.int32)
-    for row in parts.toLocalIterator():
-        out[row["chunk"]] = np.minimum(np.frombuffer(row["counts"], np.int64), 2**31 - 1)
-    return out.reshape(-1)
+
+def _signature(tokens: F.Column) -> F.Column:
+    """One bit for each shingle of a set, by its hash, in a fixed number of 64-bit integers."""
+
+    @F.arrow_udf(", ".join(f"{c} long" for c in _PARTS))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            out = np.zeros((len(lists), SIGNATURE_LONGS), np.uint64)
+            flat = lists.flatten().to_numpy().view(np.uint64)
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+            part = (flat >> np.uint64(6)) % np.uint64(SIGNATURE_LONGS)
+            np.bitwise_or.at(out, (row, part.astype(np.int64)), np.uint64(1) << (flat & np.uint64(63)))
+            yield pa.StructArray.from_arrays([pa.array(c.copy()) for c in out.view(np.int64).T], names=list(_PARTS))
+
+    return run(tokens)
 
 
 def matches_wanted(counts: np.ndarray, size: int, percent: int = PERCENT) -> int:
-    """The l that makes a set's prefix cheapest, by the counts of its shingles in global order.
+    """The l that makes a set's prefix cheapest. ``counts``: in ascending order, the number of sets that have each of
+    its shingles, for those that are in others too.
 
     A prefix costs the postings it reads. Each candidate it yields costs a verification of the set's size, and
     since a candidate has to turn up l times, there are at most a l-th as many as postings.
     """
-    base = size - required(size, percent)
-    read = np.cumsum(np.maximum(counts - 1, 0), dtype=np.float64)
-    most = min(MOST_MATCHES, size - base)
-    ells = np.arange(1, most + 1)
+    base = size - required(size, percent) - (size - len(counts))  # shingles of no other set come first and cost nothing
+    read = np.cumsum(counts - 1, dtype=np.float64)
+    ells = np.arange(1, min(MOST_MATCHES, len(counts) - base) + 1)
     postings = read[base + ells - 1]
     return int(ells[np.argmin(postings + postings / ells * size)])
 
 
-def _postings(table, percent: int):
+def _postings(percent: int):
     schema = pa.schema([("token", pa.int64()), ("sid", pa.int64()), ("size", pa.int32()),
                         ("matches", pa.int32()), ("early", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts_of = table.value
         for batch in batches:
             out = [[] for _ in schema]
-            for sid, tokens in zip(batch.column("sid").to_pylist(), batch.column("tokens"), strict=True):
-                tokens = tokens.values.to_numpy().view(np.uint64)
-                n = len(tokens)
-                counts = counts_of[(tokens >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
-                order = np.lexsort((tokens, counts))
-                tokens, counts = tokens[order], counts[order]
+            ids, sizes = batch.column("sid").to_pylist(), batch.column("size").to_pylist()
+            for sid, n, shared in zip(ids, sizes, batch.column("shared"), strict=True):
+                counts, tokens = (shared.values.field(c).to_numpy() for c in ("count", "token"))
+                alone = n - len(tokens)
                 ell = matches_wanted(counts, n, percent)
-                long = n - required(n, percent) + ell
-                short = n - int(-(-2 * percent * n // (100 + percent))) + ell
-                place = np.flatnonzero(counts[:long] > 1)  # a count of 1: no other set has it
+                long = n - required(n, percent) + ell - alone
+                short = n - int(-(-2 * percent * n // (100 + percent))) + ell - alone
                 for column, x in zip(out, (
-                    tokens[place].view(np.int64), np.full(len(place), sid), np.full(len(place), n, np.int32),
-                    np.full(len(place), ell, np.int32), place < short), strict=True):
+                    tokens[:long], np.full(long, sid), np.full(long, n, np.int32),
+                    np.full(long, ell, np.int32), np.arange(long) < short), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c), k.type) if c else pa.array([], k.type) for c, k in zip(out, schema)], schema=schema)
@@ -349,10 +330,17 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int
     bitmap = spark.sparkContext.broadcast(hash_filter(able, "text_hash", *FILTER_BITS))
     read = rows.select("text", "text_hash").mapInArrow(_tokenised(bitmap, width), "set_id binary, tokens array<long>")
     kept = read.join(able.select("set_id"), "set_id").dropDuplicates(["set_id"])
-    sets = staged(kept.select(F.monotonically_increasing_id().alias("sid"), "set_id", "tokens"), "shingle-sets")
-    table = spark.sparkContext.broadcast(_counts(sets))
-    postings = staged(sets.select("sid", "tokens").mapInArrow(
-        _postings(table, percent), "token long, sid long, size int, matches int, early boolean"), "postings")
+    read = staged(kept.select(F.monotonically_increasing_id().alias("sid"), "set_id", "tokens"), "shingle-sets")
+    each = read.select("sid", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
+    counts = each.groupBy("token").agg(F.count("*").alias("count")).where("count > 1")
+    # A set's shingles that are in others too, rare ones first; sets with too few of them cannot link.
+    shared = each.join(counts, "token").groupBy("sid", "size").agg(
+        F.sort_array(F.collect_list(F.struct("count", "token"))).alias("shared")
+    ).where(F.size("shared") >= F.ceil(F.col("size") * percent / 100))
+    postings = staged(shared.mapInArrow(
+        _postings(percent), "token long, sid long, size int, matches int, early boolean"), "postings")
+    kept = read.join(postings.select("sid").distinct(), "sid", "left_semi")
+    sets = staged(kept.select("*", _signature(F.col("tokens")).alias("signature")).select("*", "signature.*"), "shingle-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are similar enough, by their whole sets."""
@@ -372,7 +360,8 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int
             labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
         lists = placed.groupBy("token").agg(
             F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("rank"), F.col("sid").alias("leader"),
+            # The first leaders are few, as sets rank alike in all lists; later ones differ from list to list.
+            F.min(F.struct((F.xxhash64("sid", "token", F.lit(turn)) if turn else F.xxhash64("sid")).alias("rank"), F.col("sid").alias("leader"),
                            F.col("size").alias("leader_size"), F.col("component").alias("leader_component"))).alias("first"),
         ).where("low <> high")
         if turn < LEADER_ROUNDS:
@@ -381,13 +370,20 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int
             ).select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")).distinct()
         else:
             several = placed.join(lists.select("token"), "token", "left_semi")
-            left = several.where("early").select("token", *(F.col(c).alias(f"x_{c}") for c in ("sid", "size", "matches", "component")))
-            right = several.select("token", *(F.col(c).alias(f"y_{c}") for c in ("sid", "size", "matches", "component")))
+            several = several.join(sets.select("sid", *_PARTS), "sid")
+            columns = ("sid", "size", "matches", "component", *_PARTS)
+            left = several.where("early").select("token", *(F.col(c).alias(f"x_{c}") for c in columns))
+            right = several.select("token", *(F.col(c).alias(f"y_{c}") for c in columns))
+            # Sets differ in as many shingles as their signatures do in bits, or more.
+            apart = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in _PARTS), F.lit(0))
+            sizes = F.col("x_size") + F.col("y_size")
             pairs = left.join(right, "token").where(
-                F.expr("x_component <> y_component and (x_size < y_size or x_size = y_size and x_sid < y_sid)") & alike("x_size", "y_size")
+                F.expr("x_component <> y_component and (x_size < y_size or x_size = y_size and x_sid < y_sid)")
+                & alike("x_size", "y_size") & ((100 + percent) * (sizes - apart) >= 2 * percent * sizes)
             ).groupBy(F.col("x_sid").alias("a"), F.col("y_sid").alias("b")).agg(
                 F.count("*").alias("met"), F.first(F.least("x_matches", "y_matches")).alias("matches")
             ).where("met >= matches").select("a", "b")
+        pairs = staged(pairs, 'pairs')
         found = staged(verified(pairs), "links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.fs as pafs
 import regex
@@ -22,22 +23,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from playtide.llm.common import WordMemo, as_bytes, slices
+from playtide.llm.common import WordMemo, as_bytes, byte_chars, slices
 from playtide.session import work_dir
 
 END = 0
+MEMO = 500_000  # words, and pattern matches, that a worker remembers
 #: Stands for a null document id in the files.
 NO_ID = -(1 << 63)
 
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
 _ODD_BLANK = regex.compile(r" \s|\s ")
+#: Pieces of these characters are cut into the pattern's matches here, all others by the library.
+_PLAIN = regex.compile(r"[\x20-\x7e\n\u00c0-\u024f]*")
+_MATCHES = 2000  # pattern matches in a call of the library
 
 
 class ByteBpe:
     """Ids of whole texts under a byte-level BPE file, by the tokenizers library.
 
-    The file's pattern never joins a word to the single blank after it, so a text is cut before such blanks and
-    the library encodes each different piece once.
+    The file's pattern never joins a word to the single blank after it, so a text is cut before such blanks and the
+    library encodes each different match of the pattern once.
     """
 
     def __init__(self, path: str):
@@ -45,12 +50,49 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.merger = Tokenizer(self.library.model)  # the same rules for matches that are cut already
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.bytes_as_chars = {ord(bytes([b]).decode("latin-1")): c for b, c in byte_chars().items()}
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.memo = WordMemo(lambda words: self._encode([" " + w for w in words]))
+        self.kind = f"<u{self.width}"
+        self.matches = WordMemo(self._merge, MEMO)
+        self.memo = WordMemo(self._pieces, MEMO)
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _merge(self, matches: list[str]) -> list[bytes]:
+        """Ids of single matches of the pattern."""
+        chars = [m.encode().decode("latin-1").translate(self.bytes_as_chars) for m in matches]
+        out: list[bytes] = []
+        calls = [chars[k : k + _MATCHES] for k in range(0, len(chars), _MATCHES)]
+        for call, found in zip(calls, self.merger.encode_batch(calls, is_pretokenized=True, add_special_tokens=False), strict=True):
+            packed = np.array(found.ids, self.kind).tobytes()
+            ends = self.width * np.searchsorted(np.array(found.word_ids), np.arange(1, len(call) + 1))
+            out += [packed[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        return out
+
+    def _pieces(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each with a blank before it."""
+        joined = " ".join(words)
+        if not self._plain(joined) or joined.count(" ") >= len(words) or "" in words:
+            own = [w != "" and " " not in w and self._plain(w) for w in words]
+            plain = iter(self._plain_pieces([w for w, mine in zip(words, own, strict=True) if mine]))
+            whole = iter(self._encode([" " + w for w, mine in zip(words, own, strict=True) if not mine]))
+            return [next(plain if mine else whole) for mine in own]
+        return self._plain_pieces(words)
+
+    def _plain(self, text: str) -> bool:
+        return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def _plain_pieces(self, words: list[str]) -> list[bytes]:
+        matches = self.pattern.findall(" " + " ".join(words)) if words else []
+        known = self.matches.learn([matches])
+        ids = [known[m] for m in matches]
+        starts = [k for k, m in enumerate(matches) if m[0] == " "]  # the blank belongs to a word's first match
+        return [b"".join(ids[a:b]) for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = []

@@ -19,9 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, functions as F
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
 
-from playtide.llm.common import WordMemo, as_bytes, slices
+from playtide.llm.common import WordMemo, as_bytes, byte_chars, slices
 
 _NO_RULE = 1 << 40
 _NEVER = np.int64(_NO_RULE)
@@ -46,7 +45,7 @@ class WordBpe:
         self.names = [b""] * size
         for name, i in [*self.vocab.items(), *added.items()]:
             self.names[i] = name.encode()
-        self.byte_chars = _byte_chars()
+        self.byte_chars = byte_chars()
         self.symbol = [self.vocab[self.byte_chars[b]] for b in range(256)]
         self.last_symbol = [self.vocab[self.byte_chars[b] + self.suffix] for b in range(256)]
         self._merges([tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]], size)
@@ -309,15 +308,6 @@ class WordBpe:
         return b" ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _byte_chars() -> dict[int, str]:
-    """The byte-level alphabet: the printable Latin-1 bytes stand for themselves, the others follow 255."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(printable)]
-    chars = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
-    assert set(chars.values()) == set(ByteLevel.alphabet())
-    return chars
-
-
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
