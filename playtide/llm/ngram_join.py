@@ -34,8 +34,8 @@ PROBED = 0.4
 #: Text of a task that is worked on together in step 1; what repeats inside it is sent once.
 SCAN_BYTES = 6 << 20
 MOST_MATCHES = 8
-LEADER_ROUNDS = 3
-SIGNATURE_LONGS = 16
+LEADER_ROUNDS = 4
+SIGNATURE_LONGS = 32
 #: Bits of the filter that spares texts of documents which cannot link; larger inputs only make it less sharp.
 FILTER_BITS = (20, 26)
 

@@ -27,12 +27,15 @@ from playtide.llm.common import WordMemo, as_bytes, byte_chars, slices
 from playtide.session import work_dir
 
 END = 0
-MEMO = 500_000  # words, and pattern matches, that a worker remembers
+MEMO = 800_000  # words, and pattern matches, that a worker remembers
+WRITE_BYTES = 4 << 20  # text that is encoded at once
 #: Stands for a null document id in the files.
 NO_ID = -(1 << 63)
 
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
-_ODD_BLANK = regex.compile(r" \s|\s ")
+#: White space other than blanks and line ends, and the first bytes of such: a text with any is cut by the pattern.
+_RARE_ASCII = b"\t\v\f\r\x1c\x1d\x1e\x1f"
+_RARE = (b"  ", b" \n", b"\n ", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 #: Pieces of these characters are cut into the pattern's matches here, all others by the library.
 _PLAIN = regex.compile(r"[\x20-\x7e\n\u00c0-\u024f]*")
 _MATCHES = 2000  # pattern matches in a call of the library
@@ -97,8 +100,8 @@ class ByteBpe:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = []
         for raw in texts:
-            text = raw.decode()
-            split.append(text.split(" ") if not _ODD_BLANK.search(text) else _CUT.split(text))
+            odd = len(raw.translate(None, _RARE_ASCII)) != len(raw) or any(x in raw for x in _RARE)
+            split.append(_CUT.split(raw.decode()) if odd else raw.decode().split(" "))
         # A text's first piece has no blank before it.
         heads = self._encode([pieces[0] for pieces in split])
         known = self.memo.learn([pieces[1:] for pieces in split])
@@ -129,7 +132,7 @@ def _write(folder: str, path: str):
         sizes, doc_ids, out = [], [], None
         for batch in batches:
             at = 0
-            for texts in slices(batch.column("text")):
+            for texts in slices(batch.column("text"), WRITE_BYTES):
                 if out is None:
                     store.create_dir(root)
                     out = store.open_output_stream(f"{root}/{name}.bin")
@@ -193,6 +196,10 @@ class Part:
         local = isinstance(self.store, pafs.LocalFileSystem)
         return pa.memory_map(path) if local else self.store.open_input_file(path)
 
+    def all_ids(self) -> np.ndarray:
+        """The ids of all documents of the part."""
+        return np.frombuffer(self.bin.read_at(self.bin.size(), 0), f"<u{self.width}")
+
     def ids(self, document: int) -> np.ndarray:
         """The ids of a document, its end included."""
         start, end = (int(x) * self.width for x in self.offsets[document : document + 2])
@@ -207,7 +214,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 part = Part(folder, row["name"], row["documents"], row["ids"])
-                crc = [zlib.crc32(part.ids(k).astype("<u4")) for k in range(part.documents)]
+                ids, ends = part.all_ids(), part.offsets.tolist()
+                crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(part.doc_ids, mask=part.doc_ids == NO_ID), pa.array(row["base"] + part.offsets[:-1]),
                     pa.array(np.diff(part.offsets)), pa.array(crc, pa.int64())], schema=schema)
