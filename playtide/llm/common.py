@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 #: Bytes of text that are held as Python objects at once; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
@@ -22,6 +23,14 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
         yield texts.slice(start, end - start)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on and serves stages of other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def as_bytes(texts: pa.Array) -> list[bytes]:
     """UTF-8 of each text; a null is empty."""
     return [x or b"" for x in texts.cast(pa.binary()).to_pylist()]
@@ -39,7 +48,7 @@ class WordMemo:
     when it is reached, words that were not met again since the last time are dropped and computed again if need be.
     """
 
-    def __init__(self, compute: Callable[[list], Sequence], limit: int = 300_000):
+    def __init__(self, compute: Callable[[list], Sequence], limit: int = 150_000):
         self.compute, self.limit, self.known, self.met = compute, limit, {}, set()
 
     def learn(self, documents: Sequence[Sequence]) -> dict:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from playtide.llm.common import WordMemo, as_bytes, hash_filter, may_have, mixed, slices
+from playtide.llm.common import WordMemo, as_bytes, give_back, hash_filter, may_have, mixed, slices
 from playtide.llm.ngram_join import staged
 
 #: An item of n words is found within floor(n * EDITS) word edits; the chance to find one at that distance is RECALL
@@ -227,6 +227,7 @@ def _windows(grams, sought, plan: list[tuple[int, int, int, int, int]]):
                     batch.column("doc_id").take(take), batch.column("text_hash").take(take),
                     pa.array([s for _, s, _, _ in rows], pa.int32()), pa.array([p.decode() for _, _, p, _ in rows], pa.string()),
                     pa.array([k for _, _, _, k in rows], pa.int64())], schema=kind)
+        give_back()
 
     return run
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from playtide.llm.common import as_bytes, mixed, slices
+from playtide.llm.common import as_bytes, give_back, slices
 
 ORDER = 3
 #: Bounds of the training sample: documents and bytes of text for each language, and languages.
@@ -245,6 +245,7 @@ def identify(text: Column, model: Model) -> Column:
             kinds = (pa.string(), pa.float64(), pa.float64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.StructArray.from_arrays(arrays, names=["lang_pred", "score", "bits_per_byte"])
+        give_back()
 
     return run(text)
 

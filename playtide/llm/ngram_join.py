@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playtide.llm.common import WordMemo, as_bytes, hash_filter, may_have, mixed, slices
+from playtide.llm.common import WordMemo, as_bytes, give_back, hash_filter, may_have, mixed, slices
 from playtide.session import work_dir
 
 WIDTH = 5
@@ -32,7 +32,7 @@ PERCENT = 75
 #: Share of the hash space in which step 1 looks for shingles without a partner.
 PROBED = 0.4
 #: Text of a task that is worked on together in step 1; what repeats inside it is sent once.
-SCAN_BYTES = 6 << 20
+SCAN_BYTES = 4 << 20
 MOST_MATCHES = 8
 LEADER_ROUNDS = 4
 SIGNATURE_LONGS = 32
@@ -144,6 +144,7 @@ def _scan(buckets: int, width: int):
                         ],
                     )),
                 ], schema=_SCAN_ARROW)
+        give_back()
 
     return run
 
@@ -209,6 +210,7 @@ def _tokenised(bitmap, width: int):
             for texts in slices(batch.column("text").filter(pa.array(keep))):
                 sets = {_digest(s): s.view(np.int64) for s in shingles.sets(as_bytes(texts)) if len(s)}
                 yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.binary()), _lists(list(sets.values()))], schema=schema)
+        give_back()
 
     return run
 

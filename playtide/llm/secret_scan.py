@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
-from playtide.llm.common import as_strings, slices
+from playtide.llm.common import as_strings, give_back, slices
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 BASE_KINDS = ("assign", "access", "hex")
@@ -164,6 +164,7 @@ def secrets(text: Column, **rules) -> Column:
                 names=["kind", "start", "end"],
             )
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts)
+        give_back()
 
     return run(text)
 
@@ -179,6 +180,7 @@ def redact(text: Column, mark: str = "[SECRET]", **rules) -> Column:
             for piece in slices(texts):
                 out += [t and redacted(t, scanner.scan(t), mark) for t in piece.to_pylist()]
             yield pa.array(out, pa.string())
+        give_back()
 
     return run(text)
 

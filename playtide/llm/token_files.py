@@ -27,8 +27,8 @@ from playtide.llm.common import WordMemo, as_bytes, byte_chars, slices
 from playtide.session import work_dir
 
 END = 0
-MEMO = 800_000  # words, and pattern matches, that a worker remembers
-WRITE_BYTES = 4 << 20  # text that is encoded at once
+MEMO = 400_000  # words, and pattern matches, that a worker remembers
+WRITE_BYTES = 2 << 20  # text that is encoded at once
 #: Stands for a null document id in the files.
 NO_ID = -(1 << 63)
 

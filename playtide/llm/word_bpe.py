@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, functions as F
 from tokenizers import Tokenizer
 
-from playtide.llm.common import WordMemo, as_bytes, byte_chars, slices
+from playtide.llm.common import WordMemo, as_bytes, byte_chars, give_back, slices
 
 _NO_RULE = 1 << 40
 _NEVER = np.int64(_NO_RULE)
@@ -328,6 +328,7 @@ def encode(text: Column, path: str) -> Column:
             for piece in slices(texts):
                 out += bpe.encode(as_bytes(piece))
             yield pa.array(out, pa.binary())
+        give_back()
 
     return run(text)
 
@@ -340,5 +341,6 @@ def decode(ids: Column, path: str) -> Column:
         bpe = tokenizer(path)
         for packed in batches:
             yield pa.array([bpe.decode(x or b"") for x in packed.to_pylist()], pa.binary()).cast(pa.string())
+        give_back()
 
     return run(ids)
