@@ -152,7 +152,7 @@ def canonical(df: DataFrame, ignore: tuple[str, ...], layouts: tuple[Layout, ...
 
 # A control string is a character followed by the rest of it. Inside texts a backslash is put between the two, after
 # any backslashes' place: n backslashes there become n + 1, so that taking one away restores every text.
-_CONTROL = ((r"<", r"(?:\||/?s>|<?/?SYS>>)"), (r"\[", r"/?INST\]"), (r"\|", r">"))
+_CONTROL = ((r"<", r"(?:\||/?s>|/?SYS>>)"), (r"\[", r"/?INST\]"), (r"\|", r">"))
 _ESCAPE = "|".join(rf"(?<={first})(?=\\*{rest})" for first, rest in _CONTROL)
 _UNESCAPE = "|".join(rf"(?<={first})\\(?=\\*{rest})" for first, rest in _CONTROL)
 

@@ -34,7 +34,7 @@ PROBED = 0.4
 #: Text of a task that is worked on together in step 1; what repeats inside it is sent once.
 SCAN_BYTES = 4 << 20
 MOST_MATCHES = 8
-LEADER_ROUNDS = 4
+LEADER_ROUNDS = 3
 SIGNATURE_LONGS = 32
 #: Bits of the filter that spares texts of documents which cannot link; larger inputs only make it less sharp.
 FILTER_BITS = (20, 26)
@@ -187,9 +187,18 @@ def _gather(table: pa.Table) -> pa.Table:
     return pa.concat_tables(out)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Written once to the shared folder and read back: lineage ends here, and a lost executor costs its tasks only."""
+#: Rows of small frames, of pairs and links, that a task writes.
+PAIRS_OF_TASK = 100_000
+
+
+def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Written once to the shared folder and read back: lineage ends here, and a lost executor costs its tasks only.
+
+    ``rows``: how many there may be, of pairs of numbers; few of them go to few files.
+    """
     path = work_dir(df.sparkSession, label)
+    if rows is not None:
+        df = df.coalesce(1 + rows // PAIRS_OF_TASK)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -278,20 +287,20 @@ def _postings(percent: int):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, component): the smallest node each node of the edges (a, b) can reach.
 
     Rounds of two steps until nothing changes: every neighbour larger than a node moves to the node's smallest
     neighbour, then every smaller one does. Each step is a minimum by node and a join; paths halve in each round.
     """
-    edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", rows)
     seen = None
     while True:
         mark = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
         if mark == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        seen = mark
+        seen, rows = mark, mark[0]
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
@@ -299,7 +308,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "a")
         edges = staged(
             small.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-            .unionByName(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct(), "edges")
+            .unionByName(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct(), "edges", rows)
 
 
 @dataclass
@@ -385,10 +394,10 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int
             ).groupBy(F.col("x_sid").alias("a"), F.col("y_sid").alias("b")).agg(
                 F.count("*").alias("met"), F.first(F.least("x_matches", "y_matches")).alias("matches")
             ).where("met >= matches").select("a", "b")
-        pairs = staged(pairs, 'pairs')
-        found = staged(verified(pairs), "links")
+        pairs = staged(pairs, "pairs")
+        found = staged(verified(pairs), "links", pairs.count())
         links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        labels = components(links, links.count())
     return Linked(
         documents.drop("owner", "probed"),
         sets.select("sid", "set_id").join(labels.withColumnRenamed("node", "sid"), "sid").select("set_id", "component"),

@@ -61,7 +61,7 @@ def op1_secret_scan(table) -> DataFrame:
       UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
     ), measured AS (
       SELECT *, length(role) + length(text) + 10
-        + len(regexp_extract_all(text, '<\\\\*(\\||/?s>|<?/?SYS>>)')) + len(regexp_extract_all(text, '\\[\\\\*/?INST\\]'))
+        + len(regexp_extract_all(text, '<\\\\*(\\||/?s>|/?SYS>>)')) + len(regexp_extract_all(text, '\\[\\\\*/?INST\\]'))
         + len(regexp_extract_all(text, '\\|\\\\*>')) AS chars
       FROM turns
     )

@@ -12,7 +12,7 @@ import numpy as np
 
 from playtide.llm.html_blocks import HIDDEN, INPUTS, WEIGHTS, Labeller, _sigmoid, blocks, features, run_lstm, turned
 
-PAGES, EPOCHS, BATCH, RATE = 1500, 14, 32, 0.01
+PAGES, EPOCHS, BATCH, RATE = 2500, 14, 32, 0.01
 
 _MAIN = (
     ("<article>", "</article>"), ('<article class="post">', "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"),
@@ -108,7 +108,7 @@ class _Writer:
         before = [self.side(k) for k in ("header", "menu", "notice", "ad", "side", "form") if self.rng.random() < (0.85 if k == "menu" else 0.4)]
         after = [self.side(k) for k in ("ad", "side", "comments", "form", "notice", "footer") if self.rng.random() < (0.85 if k == "footer" else 0.35)]
         count = int(self.pick([1, 1, 2, 4, 8, 12]))
-        title = f"<h1>{self.words(int(self.rng.integers(2, 9)))}</h1>" if self.rng.random() < 0.8 else ""
+        title = f"<h1>{self.words(int(self.rng.integers(1, 9)))}</h1>" if self.rng.random() < 0.8 else ""
         inner = [self.side(k) for k in ("ad", "side", "comments", "form") if self.rng.random() < 0.12]
         half = int(self.rng.integers(count + 1))
         main = title + self.paragraphs(half) + "\x02" + "".join(inner) + "\x01" + self.paragraphs(count - half)
