@@ -76,11 +76,12 @@ def convert_currency(
 
     Rates are per one unit of the sheet's base currency, so an amount goes to the base and from
     there to the target. Rows already in the target currency keep their amount, rows without a
-    currency drop out. A missing rate fails the query when it runs, within the same pass over the
+    currency drop out, and a null amount stays null. A missing rate fails the query when it runs, within the same pass over the
     data; ``on_missing="null"`` leaves the new column null instead.
     """
     if on_missing not in ("error", "null"):
         raise ValueError("on_missing must be 'error' or 'null'")
+    currency = currency.upper()  # as the sheet's currencies
     known = df.where(F.col("currency").isNotNull())
     joined = join_weekday_rates(known, rates, currency)
     amount = F.col(column)
@@ -89,7 +90,8 @@ def convert_currency(
         message = F.concat(
             F.lit("no exchange rate for "), F.col("currency"), F.lit(" on "), F.col("rate_date").cast("string")
         )
-        converted = F.coalesce(converted, F.raise_error(message).cast("bigint"))
+        no_rate = F.col("rate").isNull() | F.col("target_rate").isNull()
+        converted = F.when(no_rate, F.raise_error(message).cast("bigint")).otherwise(converted)
     same = F.col("currency") == currency
     new = F.when(same, amount.cast("bigint")).otherwise(converted)
     return joined.withColumn(f"{column}_{currency.lower()}", new).drop("rate_date", "rate", "target_rate")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,7 +33,7 @@ def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(partitions, 200_000)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(2 * TARGET_PARTITION_BYTES),
     }
@@ -62,13 +61,8 @@ def build_session(
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only on a local master with that setting absent.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="playtide-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{base.rstrip('/')}/playtide/{label}-{uuid.uuid4().hex}"

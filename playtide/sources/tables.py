@@ -71,7 +71,10 @@ class FolderStore:
         return found
 
     def append(self, df: DataFrame, table: str) -> None:
-        df.write.format(self.fmt).mode("append").save(self.path(table))
+        """Add rows to the table as ``find`` reads it: to its latest version if it was ever replaced."""
+        version = self._version(table)
+        target = self.path(table) if version is None else self._slot(table, version)
+        df.write.format(self.fmt).mode("append").save(target)
 
     def append_if_any(self, df: DataFrame, table: str) -> bool:
         """Append unless there are no rows; says whether it wrote."""

@@ -313,8 +313,7 @@ FROM pay p
 LEFT JOIN rates r ON r.currency = p.currency AND r.d = {WEEKDAY.format(ts="ts")}
 LEFT JOIN rates u ON r.d = u.d AND u.currency = 'USD'""",
     "convert_currency": f"""
-WITH {PAY}, {DAYS}, priced AS (SELECT * FROM pay WHERE amount_with_tax IS NOT NULL),
-conv AS ({_converted("priced", "amount_with_tax", "USD")})
+WITH {PAY}, {DAYS}, conv AS ({_converted("pay", "amount_with_tax", "USD")})
 SELECT payment_id, currency, ts, amount_with_tax, converted AS amount_with_tax_usd FROM conv""",
     "convert_currency_gbp": f"""
 WITH {PAY}, {DAYS}, conv AS ({_converted("pay", "amount_with_tax", "GBP")})

@@ -398,8 +398,7 @@ def weekday_asof_rates(spark, sf_dir):
 
 @query
 def convert_currency(spark, sf_dir):
-    priced = inputs.payments(spark, sf_dir).where(F.col("amount_with_tax").isNotNull())
-    converted = rate_ops.convert_currency(priced, inputs.rates(spark, sf_dir))
+    converted = rate_ops.convert_currency(inputs.payments(spark, sf_dir), inputs.rates(spark, sf_dir))
     return converted.select("payment_id", "currency", "ts", "amount_with_tax", "amount_with_tax_usd")
 
 

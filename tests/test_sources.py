@@ -116,4 +116,13 @@ def test_work_dirs_lie_in_the_shared_folder(spark):
 def test_scale_conf():
     small, large = scale_conf(10**9, 8), scale_conf(100 * 10**12, 4000)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert small[key] == "24" and large[key] == "200000"
+    assert small[key] == "24" and large[key] == "745059"
+
+
+def test_rows_appended_after_a_replace_are_kept(spark, tmp_path):
+    store = FolderStore(spark, str(tmp_path))
+    three = spark.range(3)
+    store.append(three, "t")
+    store.replace(store.scan("t"), "t")
+    store.append(three, "t")
+    assert store.scan("t").count() == 6
