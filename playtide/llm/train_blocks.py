@@ -49,6 +49,8 @@ class _Writer:
         out = []
         for k in range(n):
             word = "".join(self.pick(_SYLLABLES) for _ in range(int(self.rng.integers(1, 5))))
+            if self.rng.random() < 0.1:  # a letter or a mark alone
+                word = self.pick(["a", "x", "b", "&amp;", "1", "-"])
             mark = self.pick(["", "", "", "", "", "", ",", ".", "!", "***", "&amp;"])
             out.append((word.capitalize() if k == 0 or self.rng.random() < 0.1 else word) + mark)
         text = " ".join(out)
@@ -108,7 +110,9 @@ class _Writer:
         before = [self.side(k) for k in ("header", "menu", "notice", "ad", "side", "form") if self.rng.random() < (0.85 if k == "menu" else 0.4)]
         after = [self.side(k) for k in ("ad", "side", "comments", "form", "notice", "footer") if self.rng.random() < (0.85 if k == "footer" else 0.35)]
         count = int(self.pick([1, 1, 2, 4, 8, 12]))
-        title = f"<h1>{self.words(int(self.rng.integers(1, 9)))}</h1>" if self.rng.random() < 0.8 else ""
+        short = " ".join(self.pick(["A", "B", "x", "&amp;", "1", "on", "it"]) for _ in range(int(self.rng.integers(1, 4))))
+        heading = short if self.rng.random() < 0.2 else self.words(int(self.rng.integers(1, 9)))
+        title = f"<h1>{heading}</h1>" if self.rng.random() < 0.8 else ""
         inner = [self.side(k) for k in ("ad", "side", "comments", "form") if self.rng.random() < 0.12]
         half = int(self.rng.integers(count + 1))
         main = title + self.paragraphs(half) + "\x02" + "".join(inner) + "\x01" + self.paragraphs(count - half)
