@@ -23,8 +23,25 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
         yield texts.slice(start, end - start)
 
 
-def give_back() -> None:
-    """Return freed memory to the system: a Python worker lives on and serves stages of other operators."""
+_MODEL: dict = {}
+
+
+def kept_model(key: tuple, build: Callable):
+    """The model of the operator that a Python worker serves, kept for its next tasks.
+
+    A worker holds one model: it lives on and serves stages of several operators, whose models would add up. A running
+    task holds its own.
+    """
+    if key not in _MODEL:
+        give_back()
+        _MODEL[key] = build()
+    return _MODEL[key]
+
+
+def give_back(key: tuple | None = None) -> None:
+    """Let go of all kept models but the one of ``key``, and return freed memory to the system."""
+    for other in [k for k in _MODEL if k != key]:
+        del _MODEL[other]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

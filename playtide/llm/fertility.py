@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, functions as F
 
-from playtide.llm.common import WordMemo, as_bytes, slices
+from playtide.llm.common import WordMemo, as_bytes, kept_model, slices
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MOST_REPEATED_PERCENT = 50, 50
@@ -107,9 +106,8 @@ class Pieces:
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
 
 
-@lru_cache(maxsize=1)
 def _pieces(path: str) -> Pieces:
-    return Pieces(path)
+    return kept_model(("pieces", path), lambda: Pieces(path))
 
 
 def entropy(ids: np.ndarray) -> float:

@@ -238,6 +238,7 @@ def identify(text: Column, model: Model) -> Column:
 
     @F.arrow_udf(RESULT)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()
         scorer = Scorer(model)
         for texts in batches:
             found = [x for piece in slices(texts) for x in scorer.predict(as_bytes(piece))]

@@ -12,7 +12,6 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -23,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from playtide.llm.common import WordMemo, as_bytes, byte_chars, slices
+from playtide.llm.common import WordMemo, as_bytes, byte_chars, kept_model, slices
 from playtide.session import work_dir
 
 END = 0
@@ -108,9 +107,8 @@ class ByteBpe:
         return [head + b"".join(map(known.__getitem__, pieces[1:])) for head, pieces in zip(heads, split, strict=True)]
 
 
-@lru_cache(maxsize=1)
 def byte_bpe(path: str) -> ByteBpe:
-    return ByteBpe(path)
+    return kept_model(("byte_bpe", path), lambda: ByteBpe(path))
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:

@@ -12,7 +12,6 @@ import heapq
 import json
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ import regex
 from pyspark.sql import Column, functions as F
 from tokenizers import Tokenizer
 
-from playtide.llm.common import WordMemo, as_bytes, byte_chars, give_back, slices
+from playtide.llm.common import WordMemo, as_bytes, byte_chars, give_back, kept_model, slices
 
 _NO_RULE = 1 << 40
 _NEVER = np.int64(_NO_RULE)
@@ -308,9 +307,8 @@ class WordBpe:
         return b" ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordBpe:
-    return WordBpe(path)
+    return kept_model(("word_bpe", path), lambda: WordBpe(path))
 
 
 def encode(text: Column, path: str) -> Column:
@@ -328,7 +326,7 @@ def encode(text: Column, path: str) -> Column:
             for piece in slices(texts):
                 out += bpe.encode(as_bytes(piece))
             yield pa.array(out, pa.binary())
-        give_back()
+        give_back(("word_bpe", path))
 
     return run(text)
 
@@ -341,6 +339,6 @@ def decode(ids: Column, path: str) -> Column:
         bpe = tokenizer(path)
         for packed in batches:
             yield pa.array([bpe.decode(x or b"") for x in packed.to_pylist()], pa.binary()).cast(pa.string())
-        give_back()
+        give_back(("word_bpe", path))
 
     return run(ids)
