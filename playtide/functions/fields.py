@@ -30,13 +30,18 @@ def key_values(text: Column, pair_separator: str = "&", key_separator: str = "="
         pairs, lambda p: F.struct(p[0].alias("key"), F.get(p, F.lit(1)).alias("value"))
     )
 
-    def last_of_each_key(all_entries: Column) -> Column:
-        return F.filter(all_entries, lambda e, i: ~F.exists(
-            F.slice(all_entries, i + 2, F.size(all_entries)), lambda later: later["key"] == e["key"]
-        ))
-
-    # One-element array: the entries are built once and then looked at twice.
-    return F.map_from_entries(F.transform(F.array(entries), last_of_each_key)[0])
+    # Sorted by key and place, an entry is its key's last one when the next entry has another key.
+    placed = F.array_sort(F.transform(entries, lambda e, i: F.struct(
+        e["key"].alias("key"), i.alias("place"), e["value"].alias("value"))))
+
+    def last_of_each_key(ordered: Column) -> Column:
+        last = F.filter(ordered, lambda e, i: ~F.get(ordered, i + 1)["key"].eqNullSafe(e["key"]))
+        in_place = F.array_sort(F.transform(last, lambda e: F.struct(
+            e["place"].alias("place"), e["key"].alias("key"), e["value"].alias("value"))))
+        return F.transform(in_place, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+
+    # One-element array: the entries are sorted once and then looked at twice.
+    return F.map_from_entries(F.transform(F.array(placed), last_of_each_key)[0])
 
 
 def last_part_matching(fields: Column, suffix: str) -> Column:

@@ -6,13 +6,18 @@ the rows are found with a bounded sketch and only those are spread over several
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-HOT_SHARE = 0.01
-SALTS = 32
+#: Rows of one key that a task of a join should get; a key with more is hot.
+ROWS_PER_TASK = 1 << 20
+#: Keys the sketch tells apart from the rest.
+MOST_HOT = 1000
+#: Tasks that null keys, which match nothing, are spread over at least.
+NULL_TASKS = 32
 
 _HASH, _SALT = "__key_hash", "__salt"
 
@@ -39,43 +44,63 @@ def _key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(k).cast("string") for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows with a key: at most ``1 / share``.
+@dataclass(frozen=True)
+class Hot:
+    """The keys with more rows than a task should get: tasks for each by key hash, and for null keys."""
 
-    The frequent-items sketch has a fixed size and merges on the map side. It may name a key that
-    is a little below the share, which costs nothing but a few copied rows.
+    tasks: dict[int, int]
+    null_tasks: int = NULL_TASKS
+
+    def tasks_of(self, key_hash: Column) -> Column:
+        """Over how many tasks the rows of a key go; 1 for keys that are not hot."""
+        if not self.tasks:
+            return F.lit(1)
+        known = F.create_map(*(F.lit(x) for pair in self.tasks.items() for x in pair))
+        return F.when(key_hash.isin(list(self.tasks)), F.try_element_at(known, key_hash)).otherwise(1)
+
+
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> Hot:
+    """The keys that hold more than ``rows_per_task`` rows, and over how many tasks to spread each.
+
+    Both come from counted rows, so they follow the data. The frequent-items sketch has a fixed size and merges on
+    the map side. It counts a key a little too high rather than too low, which costs a few copied rows. It tells
+    keys with a thousandth of the rows from the others; a lesser key can still be too large for a task on huge
+    inputs, and there Spark's adaptive skew join splits it, as no salt is needed for right results.
     """
-    most = int(1 / share)
-    sketch = F.expr(f"approx_top_k({_HASH}, {most}, {100 * most})")
-    row = df.na.drop(subset=keys).select(_key_hash(keys).alias(_HASH)).agg(
-        sketch.alias("top"), F.count("*").alias("n")
+    sketch = F.expr(f"approx_top_k({_HASH}, {MOST_HOT}, {10 * MOST_HOT})")
+    blank = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # The sketch leaves out nulls, which is what the hash becomes for a null key.
+    row = df.select(F.when(~blank, _key_hash(keys)).alias(_HASH)).agg(
+        sketch.alias("top"), F.count_if(F.col(_HASH).isNull()).alias("blank")
     ).first()
-    return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
+    return Hot(
+        {i["item"]: -(-i["count"] // rows_per_task) for i in row["top"] or [] if i["item"] is not None and i["count"] > rows_per_task},
+        max(NULL_TASKS, -(-row["blank"] // rows_per_task)),
+    )
 
 
-def _salted(df: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
-    """Rows of hot keys, and of null keys, get one of ``SALTS`` salts.
+def _salted(df: DataFrame, keys: list[str], hot: Hot) -> DataFrame:
+    """Rows of hot keys, and of null keys, get one of their key's salts.
 
     The salt comes from the row and its input partition: a task that runs again gives the same
     salts, and equal copies of a row in different partitions still spread.
     """
-    is_hot = _key_hash(keys).isin(hot) if hot else F.lit(False)
-    spread = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], is_hot)
-    salt = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    return df.withColumn(_SALT, F.when(spread, salt).otherwise(0))
+    blank = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    tasks = F.when(blank, hot.null_tasks).otherwise(hot.tasks_of(_key_hash(keys)))
+    return df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), tasks).cast("int"))
 
 
-def _copied(df: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
+def _copied(df: DataFrame, keys: list[str], hot: Hot) -> DataFrame:
     """Rows of hot keys once per salt, all others with salt 0."""
-    if not hot:
+    if not hot.tasks:
         return df.withColumn(_SALT, F.lit(0))
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salts = F.when(_key_hash(keys).isin(hot), every).otherwise(F.array(F.lit(0)))
-    return df.withColumn(_SALT, F.explode(salts))
+    return df.withColumn(_SALT, F.explode(F.sequence(F.lit(0), hot.tasks_of(_key_hash(keys)) - 1)))
 
 
-def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join on same-named keys whose hot left keys are spread over ``SALTS`` partitions.
+def split_hot_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Equi-join on same-named keys whose hot left keys are spread over several partitions.
 
     For ``inner``, ``left`` and ``left_semi``: each left row meets all right rows of its key
     exactly once, because the right rows of hot keys are present under every salt. A stream cannot
@@ -85,16 +110,25 @@ def split_hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
         kinds = left.schema[key].dataType, right.schema[key].dataType
         if kinds[0] != kinds[1] and not all(isinstance(k, T.IntegralType) for k in kinds):
             raise TypeError(f"join key {key} has types {kinds[0]} and {kinds[1]}")
-    hot = [] if left.isStreaming else hot_keys(left, keys)
+    hot = Hot({}) if left.isStreaming else hot_keys(left, keys, rows_per_task)
     right = right.na.drop(subset=keys)  # null keys match nothing
     if how in ("inner", "left_semi"):
         left = left.na.drop(subset=keys)
-        if not hot:
+        if not hot.tasks:
             return left.join(right, keys, how)
     return _salted(left, keys, hot).join(_copied(right, keys, hot), [*keys, _SALT], how).drop(_SALT)
 
 
-def semi_join(df: DataFrame, keys_of: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys_of``; the key set stays distributed."""
+def semi_join(
+    df: DataFrame, keys_of: DataFrame, key: str, limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``keys_of``.
+
+    The different keys are broadcast when their measured size is within the limit, and ``df`` is then read once and
+    not shuffled; beyond it both sides stay distributed and hot keys are split.
+    """
     wanted = keys_of.select(key).where(F.col(key).isNotNull()).distinct()
-    return split_hot_join(df, wanted, [key], "left_semi").select(*df.columns)
+    if fits_broadcast(wanted, limit_bytes):
+        return df.join(F.broadcast(wanted), key, "left_semi").select(*df.columns)
+    return split_hot_join(df, wanted, [key], "left_semi", rows_per_task).select(*df.columns)

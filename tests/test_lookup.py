@@ -25,21 +25,24 @@ def same(a, b):
 
 
 def test_hot_keys_are_found_and_bounded(skewed):
-    assert len(hot_keys(skewed, ["k"], 0.2)) == 1
-    assert len(hot_keys(skewed, ["k"], 0.001)) <= 1000
-    assert hot_keys(skewed.limit(0), ["k"]) == []
+    counts = {r["k"]: r["n"] for r in skewed.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert list(hot_keys(skewed, ["k"], 40).tasks.values()) == [-(-counts["hot"] // 40)]
+    assert len(hot_keys(skewed, ["k"], 0.5).tasks) <= 1000
+    assert hot_keys(skewed, ["k"], 1).null_tasks >= counts[None]
+    assert hot_keys(skewed, ["k"]).tasks == hot_keys(skewed.limit(0), ["k"]).tasks == {}
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_split_join_equals_plain_join(skewed, dim, how):
     assert same(split_hot_join(skewed, dim, ["k"], how), skewed.join(dim, "k", how))
+    assert same(split_hot_join(skewed, dim, ["k"], how, 20), skewed.join(dim, "k", how))
 
 
 def test_split_join_spreads_the_hot_key(skewed, dim):
-    hot = hot_keys(skewed, ["k"])
+    hot = skew.Hot({**hot_keys(skewed, ["k"], 40).tasks})
     salts = skew._salted(skewed, ["k"], hot).groupBy("k").agg(F.countDistinct("__salt").alias("n"))
     found = {r.k: r.n for r in salts.collect()}
-    assert found["hot"] == skew.SALTS and found[None] > 1 and found["k1"] == 1
+    assert found["hot"] == next(iter(hot.tasks.values())) and found[None] > 1 and found["k1"] == 1
 
 
 def test_split_join_with_int_and_bigint_keys(spark):
@@ -59,7 +62,19 @@ def test_lookup_join_gives_the_same_either_way(skewed, dim):
 
 def test_semi_join_does_not_multiply(skewed, spark):
     wanted = spark.createDataFrame([("hot",), ("hot",), ("k1",), (None,)], "k string")
-    assert same(semi_join(skewed, wanted, "k"), skewed.where(F.col("k").isin("hot", "k1")))
+    expected = skewed.where(F.col("k").isin("hot", "k1"))
+    small, large = semi_join(skewed, wanted, "k"), semi_join(skewed, wanted, "k", 0, 40)
+    assert same(small, expected) and same(large, expected)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
+    assert "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning(k#" not in plans[0].split("BroadcastExchange")[0]
+    assert "__salt" in plans[1]
+
+
+def test_a_key_of_half_a_percent_is_split(spark):
+    rows = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 200 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    assert list(hot_keys(rows, ["k"], 50).tasks.values()) == [4]
+    wanted = spark.createDataFrame([(-1,), (7,)], "k bigint")
+    assert semi_join(rows, wanted, "k", 0, 50).count() == 201
 
 
 def test_measured_bytes_counts_text(spark):
@@ -83,5 +98,5 @@ def test_tournaments_of_unknown_properties_drop_out(spark):
 
 def test_equal_copies_of_a_row_spread_too(spark):
     copies = spark.range(0, 4000, 1, 16).select(F.lit("hot").alias("k"), F.lit(1).alias("i"))
-    hot = hot_keys(copies, ["k"])
+    hot = hot_keys(copies, ["k"], 400)
     assert skew._salted(copies, ["k"], hot).select("__salt").distinct().count() > 5
