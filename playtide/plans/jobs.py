@@ -1,6 +1,7 @@
 """The pipelines as jobs: read an event log and stored tables, compute, append to tables.
 
-Each job takes a session, the table store and the event log: a path of packed JSON, or a frame of events.
+Each job takes a session, the table store and the event log: a path of packed JSON, or a frame of events. For a
+path, ``layout`` says how its files are cut, as in ``read_packed_json``.
 Several jobs over the same large log are best given a frame that was parsed once and stored as
 Parquet, from which each job reads just its columns. With ``dry_run=True`` nothing is written
 and the job gives a preview of what it would write, by table.
@@ -43,12 +44,12 @@ _PLAY = (
 
 
 def _log(
-    spark: SparkSession, store: TableStore, log: Log, *fields: str
+    spark: SparkSession, store: TableStore, log: Log, layout: str, *fields: str
 ) -> tuple[DataFrame, DataFrame]:
     if isinstance(log, DataFrame):
         return log, store.scan("realm")
     schema = schemas.pick_fields(schemas.EVENT, *fields) if fields else schemas.EVENT
-    return read_packed_json(spark, log, schema), store.scan("realm")
+    return read_packed_json(spark, log, schema, layout), store.scan("realm")
 
 
 def _parsed_once(events: DataFrame, log: Log, wanted: Column, dry_run: bool) -> DataFrame:
@@ -57,48 +58,49 @@ def _parsed_once(events: DataFrame, log: Log, wanted: Column, dry_run: bool) ->
     return chosen if dry_run or isinstance(log, DataFrame) else staged(chosen, "events")
 
 
-def event_times(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
-    events, realms = _log(spark, store, log, "realm", "ts", _TYPE, "payload.data.DGE_EVENT_ID")
+def event_times(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed") -> Previews:
+    events, realms = _log(spark, store, log, layout, "realm", "ts", _TYPE, "payload.data.DGE_EVENT_ID")
     changes = _parsed_once(events, log, of_type(catalogue.WENT_LIVE, catalogue.WENT_OFF), dry_run)
     times = catalogue.event_times(changes, realms)
     return _emit(store, {"event_start": times.starts, "event_finish": times.finishes}, dry_run)
 
 
 def date_buckets(
-    spark: SparkSession, store: TableStore, log: Log, bucket_path: str, dry_run: bool = False
+    spark: SparkSession, store: TableStore, log: Log, bucket_path: str, dry_run: bool = False, layout: str = "packed"
 ) -> Previews:
-    buckets = bucketing.bucket_events(*_log(spark, store, log))
+    buckets = bucketing.bucket_events(*_log(spark, store, log, layout))
     if dry_run:
         return {"events": preview(buckets.events), "per_date": buckets.per_date}
     bucketing.write_buckets(buckets.events, bucket_path)
     return {"per_date": buckets.per_date}
 
 
-def live_catalogue(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
-    inputs = _log(spark, store, log, "realm", "ts", _TYPE, "payload.data.v")
+def live_catalogue(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed") -> Previews:
+    inputs = _log(spark, store, log, layout, "realm", "ts", _TYPE, "payload.data.v")
     return _emit(store, {"live_catalogue": catalogue.live_catalogue(*inputs).result}, dry_run)
 
 
-def vod_catalogue(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
-    inputs = _log(spark, store, log, "realm", "ts", _TYPE, "payload.data.v", "payload.data.vid")
+def vod_catalogue(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed") -> Previews:
+    inputs = _log(spark, store, log, layout, "realm", "ts", _TYPE, "payload.data.v", "payload.data.vid")
     return _emit(store, {"vod_catalogue": catalogue.vod_catalogue(*inputs).result}, dry_run)
 
 
-def logins(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
-    inputs = _log(spark, store, log, *_WHO, "clientIp", "payload.action", _TYPE, "payload.data.device")
+def logins(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed") -> Previews:
+    inputs = _log(spark, store, log, layout, *_WHO, "clientIp", "payload.action", _TYPE, "payload.data.device")
     return _emit(store, {"user_logins": accounts.logins(*inputs).result}, dry_run, if_any=True)
 
 
-def signups(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
-    inputs = _log(spark, store, log, *_WHO, _TYPE, "payload.data.device")
+def signups(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed") -> Previews:
+    inputs = _log(spark, store, log, layout, *_WHO, _TYPE, "payload.data.device")
     return _emit(store, {"signups": accounts.signups(*inputs).result}, dry_run, if_any=True)
 
 
 def live_plays(
-    spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, keep: str = "append"
+    spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, keep: str = "append",
+    layout: str = "packed",
 ) -> Previews:
     """New and extended live plays. ``keep="latest"`` rewrites the table with one row per play."""
-    events, realms = _log(spark, store, log, *_PLAY)
+    events, realms = _log(spark, store, log, layout, *_PLAY)
     stored = store.find("live_play")
     if keep == "latest" and not dry_run:
         store.replace(plays.all_live_plays(events, realms, stored), "live_play")
@@ -109,10 +111,11 @@ def live_plays(
 
 
 def vod_plays(
-    spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, keep: str = "append"
+    spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, keep: str = "append",
+    layout: str = "packed",
 ) -> Previews:
     """New and extended on-demand plays. ``keep="latest"`` rewrites the table with one row per play."""
-    events, realms = _log(spark, store, log, *_PLAY)
+    events, realms = _log(spark, store, log, layout, *_PLAY)
     stored = store.find("vod_play")
     if keep == "latest" and not dry_run:
         store.replace(plays.all_vod_plays(events, realms, stored), "vod_play")
@@ -122,15 +125,19 @@ def vod_plays(
     return _emit(store, {"vod_play": plays.vod_plays(events, realms, stored).result}, dry_run)
 
 
-def session_durations(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
-    rows = plays.session_durations(*_log(spark, store, log, *_PLAY)).result
+def session_durations(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed") -> Previews:
+    rows = plays.session_durations(*_log(spark, store, log, layout, *_PLAY)).result
     return _emit(store, {"session_duration": rows}, dry_run)
 
 
 def purchases(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False) -> Previews:
-    """Payments and subscriptions from date-bucketed events, given by their path or as a frame."""
+    """Payments and subscriptions from date-bucketed events, given by their path or as a frame.
+
+    A frame of raw events, without ``realm_id``, goes through the realm lookup.
+    """
     events = log if isinstance(log, DataFrame) else read_json(spark, log, schemas.BUCKETED_EVENT)
-    rows = accounts.distinct_purchases(events)
+    realms = None if "realm_id" in events.columns else store.scan("realm")
+    rows = accounts.distinct_purchases(events, realms)
     bought = accounts.split_purchases(rows if dry_run else staged(rows, "purchases"))
     return _emit(store, {"payment": bought.payments, "subscription": bought.subscriptions}, dry_run)
 

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from playtide.schemas import EVENT
 from playtide.session import configure
 
+#: The longest piece of a log between two cuts that a task takes.
+PIECE_BYTES = 32 * 1024 * 1024
+
 _SPACE = " \t\r\n"
 
 
@@ -62,29 +69,65 @@ def parse_records(
     return events.select(*[F.col("e").getField(name).alias(name) for name in schema.names])
 
 
+def measured_layouts(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``layout`` of each file: ``packed`` where more records follow a ``}`` at once than on a new line.
+
+    Cut at every closing brace, files of both kinds go to many tasks in small pieces. This reads the whole log.
+    """
+    piece = F.col("value")
+    pieces = spark.read.option("lineSep", "}").text(path).select(piece, F.col("_metadata.file_path").alias("file"))
+    opens = F.ltrim(piece, F.lit(_SPACE)).startswith("{")
+    packed, lines = F.count_if(piece.startswith("{")), F.count_if(opens & ~piece.startswith("{"))
+    # The first record of a file follows nothing.
+    return pieces.groupBy("file").agg(F.when(packed - 1 > lines, "packed").otherwise("lines").alias("layout"))
+
+
+def _bounded(row: Column, layout: str, limit_bytes: int) -> Column:
+    """The text row, or an error where it is longer than a task should hold."""
+    other = "lines" if layout == "packed" else "packed"
+    message = F.concat(
+        F.lit("a piece of "), F.octet_length(row).cast("string"),
+        F.lit(f" bytes without a cut: layout='{layout}' does not fit this log, try '{other}' or 'measured'"),
+    )
+    return F.when(F.octet_length(row) > limit_bytes, F.raise_error(message).cast("string")).otherwise(row)
+
+
 def read_packed_json(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType = EVENT,
     layout: str = "packed",
     corrupt: str | None = None,
+    limit_bytes: int = PIECE_BYTES,
 ) -> DataFrame:
     """Read an event log.
 
     Both layouts accept objects back-to-back and on lines. They differ in where a file is cut for
     parallel reading: ``packed`` between ``}`` and ``{``, so a file of many gigabytes on one line
-    splits over many tasks; ``lines`` at line ends. For files with just one object per line
+    splits over many tasks; ``lines`` at line ends. A piece of over ``limit_bytes`` fails the query: its file has
+    the other layout and would end in one task. ``measured`` looks at every file first and reads each by its own
+    layout, for one more pass over the log. For files with just one object per line
     ``read_json`` is the fastest. Only ``lines`` notices when the very last object
     of a file lacks just its closing brace; ``packed`` reads that one as complete.
     """
     configure(spark)
-    if layout == "packed":
-        chunks = spark.read.option("lineSep", "}{").text(path)
-        return parse_records(chunks, records_of_chunk(F.col("value")), schema, corrupt)
-    if layout == "lines":
-        lines = spark.read.option("lineSep", "\n").text(path)
-        return parse_records(lines, records_of_line(F.col("value")), schema, corrupt)
-    raise ValueError("layout must be 'packed' or 'lines'")
+    if layout == "measured":
+        # One row for each file, of which the driver lists all names anyway.
+        files: dict[str, list[str]] = {}
+        for row in measured_layouts(spark, path).collect():
+            name = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(row["file"]))  # as a path pattern for this file alone
+            files.setdefault(row["layout"], []).append(name)
+        parts = [
+            read_packed_json(spark, path if len(files) == 1 else names, schema, kind, corrupt, limit_bytes)
+            for kind, names in sorted(files.items())
+        ] or [read_packed_json(spark, path, schema, "lines", corrupt, limit_bytes)]
+        return reduce(DataFrame.unionByName, parts)
+    if layout not in ("packed", "lines"):
+        raise ValueError("layout must be 'packed', 'lines' or 'measured'")
+    rows = spark.read.option("lineSep", "}{" if layout == "packed" else "\n").text(path)
+    rows = rows.select(_bounded(F.col("value"), layout, limit_bytes).alias("value"))
+    records = records_of_chunk if layout == "packed" else records_of_line
+    return parse_records(rows, records(F.col("value")), schema, corrupt)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType = EVENT) -> DataFrame:

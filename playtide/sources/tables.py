@@ -136,13 +136,23 @@ class CatalogStore:
 class JdbcStore:
     """Tables of a database; ``options`` carry the URL, driver and credentials from the caller."""
 
-    def __init__(self, spark: SparkSession, options: dict[str, str], stage: FolderStore):
-        self.spark, self.options, self.stage = spark, options, stage
+    def __init__(
+        self, spark: SparkSession, options: dict[str, str], stage: FolderStore,
+        splits: dict[str, dict[str, str]] | None = None,
+    ):
+        """``splits``: for large tables, Spark's partitionColumn, lowerBound, upperBound and numPartitions."""
+        self.spark, self.options, self.stage, self.splits = spark, options, stage, splits or {}
+
+    def _load(self, source: str, **options: str) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**self.options, **options).option("dbtable", source).load()
 
     def scan(self, table: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.options).option("dbtable", table).load()
+        return self._load(table, **self.splits.get(table, {}))
 
-    find = scan
+    def find(self, table: str) -> DataFrame | None:
+        """The table's rows, or None when the database's information schema does not name it."""
+        names = self._load("(SELECT table_name AS found FROM information_schema.tables) known")
+        return None if names.where(F.col("found") == table.split(".")[-1]).isEmpty() else self.scan(table)
 
     def _write(self, df: DataFrame, table: str, mode: str) -> None:
         writer = df.write.format("jdbc").options(**self.options).option("dbtable", table)

@@ -51,9 +51,9 @@ def watch_totals(messages: DataFrame, arrival: Column) -> DataFrame:
 
 
 def latest_totals(log: DataFrame, keys: tuple[str, ...] = WATCH_KEYS) -> DataFrame:
-    """The current total of each key, from a log to which every new total was appended."""
+    """The current total of each key, from a log to which every batch appended its new totals: that of the last batch."""
     return log.groupBy(*keys).agg(
-        F.max("duration").alias("duration"), F.max("event_datetime").alias("event_datetime")
+        F.max_by("duration", "batch_id").alias("duration"), F.max("event_datetime").alias("event_datetime")
     )
 
 

@@ -56,6 +56,22 @@ def test_daily_jobs_from_a_packed_file(spark, store, tmp_path):
     assert (revenue.realm_id, revenue.amount, revenue.amount_usd, str(revenue.ts)) == (1, 115, 130, "2018-06-11 00:00:00")
 
 
+def test_jobs_read_logs_of_either_layout(spark, store, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text("\n".join(json.dumps(e) for e in THREE) + "\n")
+    counts = {}
+    for layout in ("packed", "lines", "measured"):
+        jobs.session_durations(spark, store, str(path), layout=layout)
+        counts[layout] = store.scan("session_duration").count()
+    assert counts == {"packed": counts["packed"], "lines": 2 * counts["packed"], "measured": 3 * counts["packed"]}
+
+
+def test_payments_of_raw_events(spark, store, tmp_path):
+    bought = change(THREE[0], -1, "SUCCESSFUL_PURCHASE", PAYMENT_PROVIDER="STRIPE", PRICE_WITH_TAX_AMOUNT=115, PRICE_WITH_TAX_CURRENCY="GBP")
+    jobs.purchases(spark, store, read_packed_json(spark, write(tmp_path, [bought])))
+    assert [(r.realm_id, r.amount_with_tax) for r in store.scan("payment").collect()] == [(1, 115)]
+
+
 def test_plays_append_or_keep_the_latest(spark, store, tmp_path):
     path = write(tmp_path, THREE)
     jobs.vod_plays(spark, store, path)

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from playtide.schemas import EVENT, pick_fields
+from playtide.sources import packed_json
 from playtide.sources.packed_json import parse_records, read_packed_json, records_of_chunk, records_of_line
 
 PAIR = T.StructType([T.StructField("foo", T.StringType()), T.StructField("bar", T.StringType())])
@@ -103,3 +104,35 @@ def test_pick_fields():
     assert slim.simpleString() == "struct<payload:struct<action:tinyint,data:struct<TA:string>>,realm:string>"
     with pytest.raises(ValueError):
         pick_fields(EVENT, "payload.nothing")
+
+
+def test_measured_layout_per_file(spark, tmp_path):
+    folder = tmp_path / "mixed [logs]"
+    folder.mkdir()
+    texts = [json.dumps(e, separators=(",", ":")) for e in THREE] * 20
+    (folder / "a.json").write_text("".join(texts))
+    (folder / "b.json").write_text("\n".join(texts) + "\n")
+    (folder / "c.json").write_text(" ")
+    kinds = {r["file"].rsplit("/", 1)[1]: r["layout"] for r in packed_json.measured_layouts(spark, str(folder).replace("[", "\\[").replace("]", "\\]")).collect()}
+    assert (kinds["a.json"], kinds["b.json"]) == ("packed", "lines")
+    assert read_packed_json(spark, str(folder).replace("[", "\\[").replace("]", "\\]"), layout="measured").count() == 120
+
+
+def test_a_piece_without_a_cut_fails(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text("\n".join(json.dumps(e, separators=(",", ":")) for e in THREE * 50) + "\n")
+    with pytest.raises(Exception, match="without a cut"):
+        read_packed_json(spark, str(path), limit_bytes=5000).count()
+    assert read_packed_json(spark, str(path), layout="measured", limit_bytes=5000).count() == 150
+
+
+def test_a_file_of_lines_goes_to_many_tasks(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text("\n".join(json.dumps(e, separators=(",", ":")) for e in THREE * 2000) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        tasks = read_packed_json(spark, str(path), layout="measured").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(tasks) > 3 and sum(r["count"] for r in tasks) == 6000
