@@ -1,7 +1,7 @@
 """Removal of repeated text: lines, and the sentences inside them, by their digests.
 
-A unit is a sentence or what is left of its line. Its words are lower-cased and joined by one blank; digests of
-these are grouped over all documents, the earliest unit stays, and the others are listed with their offsets.
+A unit is a whole line, or a sentence or what is left of its line. Its words are lower-cased and joined by one blank;
+digests of these are grouped over all documents, the earliest unit stays, and the others are listed with their offsets.
 """
 
 from __future__ import annotations
@@ -23,60 +23,103 @@ LEAST_WORDS, LEAST_CHARS = 6, 40
 UNIT = r"[^.!?\n]+(?:[.!?]+[^.!?\x20\x09-\x0D][^.!?\n]*)*[.!?]*"
 _UNIT = regex.compile(UNIT)
 _SPACE = " \t\n\v\f\r"
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-_BLANKS = regex.compile(r"[\x20\x09-\x0D]+")
+_CUT = regex.compile(r"[.!?][\x20\x09-\x0D]")
+
+
+def _unit(raw: str, least_words: int, least_chars: int) -> bytes | None:
+    """The digest of a unit without white space around it, or None if it is too short to go."""
+    if len(raw) < least_chars:
+        return None
+    whole = raw.encode()
+    words = whole.split()  # bytes part at ASCII white space only
+    if len(words) < least_words:
+        return None
+    normal = b" ".join(words).lower()  # and have ASCII cases only
+    if len(raw) - len(whole) + len(normal) < least_chars:
+        return None
+    return hashlib.blake2b(normal, digest_size=16).digest()
 
 
 def units(text: str, least_words: int = LEAST_WORDS, least_chars: int = LEAST_CHARS) -> list[tuple[int, int, bytes]]:
-    """(start, end, digest) of the units that may be removed, in code points, without white space around them."""
+    """(start, end, digest) of the sentences that may be removed, in code points, without white space around them."""
     out = []
     for m in _UNIT.finditer(text):
         raw = m[0].strip(_SPACE)
-        if len(raw) < least_chars:
-            continue
-        words = [w for w in _BLANKS.split(raw) if w]
-        if len(words) < least_words:
-            continue
-        normal = " ".join(words).translate(_LOWER)
-        if len(normal) >= least_chars:
+        if digest := _unit(raw, least_words, least_chars):
             start = m.start() + m[0].index(raw)
-            out.append((start, start + len(raw), hashlib.blake2b(normal.encode(), digest_size=16).digest()))
+            out.append((start, start + len(raw), digest))
+    return out
+
+
+def line_units(text: str, least_words: int = LEAST_WORDS, least_chars: int = LEAST_CHARS) -> list[tuple[int, int, bytes, int]]:
+    """(start, end, digest, start of its line) of the lines that may be removed, each before those of its sentences.
+
+    The floor holds for the line as a whole, however short its sentences are. A line of one sentence is one unit.
+    Sentences are cut with a blank before the line, so that they do not depend on white space around it.
+    """
+    out, at = [], 0
+    for line in text.split("\n"):
+        raw = line.strip(_SPACE)
+        if digest := _unit(raw, least_words, least_chars):
+            begin = at + line.index(raw)
+            out.append((begin, begin + len(raw), digest, begin))
+            parts = units(f" {raw}", least_words, least_chars) if _CUT.search(raw) else []
+            out += [(begin + s - 1, begin + e - 1, d, begin) for s, e, d in parts if e - s < len(raw)]
+        at += len(line) + 1
     return out
 
 
-def _units(least_words: int, least_chars: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("end", pa.int32())])
+def _units(least_words: int, least_chars: int, lines: bool):
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("end", pa.int32()),
+                        ("line", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for texts in slices(batch.column("text")):
-                found = [units(t, least_words, least_chars) for t in as_strings(texts)]
+                if lines:
+                    found = [line_units(t, least_words, least_chars) for t in as_strings(texts)]
+                else:
+                    found = [[(*u, None) for u in units(t, least_words, least_chars)] for t in as_strings(texts)]
                 take = pa.array(np.repeat(np.arange(at, at + len(texts)), [len(f) for f in found]))
                 at += len(texts)
                 flat = [u for f in found for u in f]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(take), batch.column("text_hash").take(take),
-                    pa.array([d for _, _, d in flat], pa.binary()), pa.array([s for s, _, _ in flat], pa.int32()),
-                    pa.array([e for _, e, _ in flat], pa.int32())], schema=schema)
+                    pa.array([u[2] for u in flat], pa.binary()), pa.array([u[0] for u in flat], pa.int32()),
+                    pa.array([u[1] for u in flat], pa.int32()), pa.array([u[3] for u in flat], pa.int32())], schema=schema)
 
     return run
 
 
-def repeated(docs: DataFrame, least_words: int = LEAST_WORDS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def repeated(docs: DataFrame, least_words: int = LEAST_WORDS, least_chars: int = LEAST_CHARS, lines: bool = True) -> DataFrame:
     """(doc_id, text_hash, start, end, kept_doc_id, kept_start) of each unit to remove.
 
     Documents rank by doc_id, nulls last, then by the hash of their text; units rank by document and then by offset,
     and the first of each group stays. Null and blank texts have no units. Rows that are equal as a whole have equal
     units at equal offsets: they count as one document. Other columns are not read. A unit that a third of all
     documents share comes to the grouping once from each task, and Spark splits its side of the join.
+
+    ``lines``: whole lines go too, and a line that goes is listed once for all of its sentences, which stand in its
+    kept copy; without it only sentences go.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    found = rows.mapInArrow(_units(least_words, least_chars), "doc_id long, text_hash long, digest binary, start int, end int")
+    found = rows.mapInArrow(_units(least_words, least_chars, lines), "doc_id long, text_hash long, digest binary, start int, end int, line int")
     rank = F.struct(F.col("doc_id").isNull().alias("blank"), "doc_id", "text_hash", "start")
     first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last").select("digest", "first")
-    return found.join(first, "digest").where(rank != F.col("first")).select(
-        "doc_id", "text_hash", "start", "end", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start"))
+    removed = found.join(first, "digest").where(rank != F.col("first")).select(
+        "doc_id", "text_hash", "line", "start", "end", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start"))
+    return _outermost(removed) if lines else removed.drop("line")
+
+
+def _outermost(removed: DataFrame) -> DataFrame:
+    """Without the sentences of lines that go whole: a line's units that begin with it, the longest first."""
+    span = F.struct("start", "end", "kept_doc_id", "kept_start")
+    longest = F.max(F.when(F.col("start") == F.col("line"), F.col("end"))).alias("longest")
+    grouped = removed.groupBy("doc_id", "text_hash", "line").agg(longest, F.collect_set(span).alias("spans"))
+    # A first sentence reaches over no other, so only a whole line leaves any out.
+    outer = F.filter("spans", lambda s: (s["end"] == F.col("longest")) & (s["start"] == F.col("line")) | (s["start"] >= F.coalesce("longest", "line")))
+    return grouped.select("doc_id", "text_hash", F.explode(outer).alias("s")).select("doc_id", "text_hash", "s.*")
 
 
 def by_document(removed: DataFrame) -> DataFrame:

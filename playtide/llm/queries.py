@@ -118,14 +118,58 @@ def op2_chat_format(table) -> DataFrame:
     FROM ranked WHERE n > 1 GROUP BY doc_id
 """)
 def op3_substring_dedup(table) -> DataFrame:
-    """The documents that lose text: what goes, with its offsets and the document that keeps it."""
+    """The documents that lose text: which sentences go, with their offsets and the document that keeps each."""
+    return _removed(line_dedup.repeated(table("documents"), lines=False))
+
+
+def _removed(units: DataFrame) -> DataFrame:
     spans = F.col("removed")
     size = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     named = F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"], s["kept_doc_id"]))
-    return line_dedup.by_document(line_dedup.repeated(table("documents"))).select(
+    return line_dedup.by_document(units).select(
         "doc_id", F.size(spans).cast("long").alias("n_removed"), size.alias("chars_removed"), F.array_join(named, ",").alias("removed"))
 
 
+@query("""
+    WITH lines AS (
+      SELECT doc_id, p.line, coalesce(sum(length(p.line) + 1) OVER (PARTITION BY doc_id ORDER BY p.place
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+      FROM documents, unnest(string_split(text, chr(10))) WITH ORDINALITY AS p(line, place)
+    ), bodies AS (
+      SELECT doc_id, trim(line, WHITE) AS body, pos + length(line) - length(ltrim(line, WHITE)) AS line_start FROM lines
+    ), pieces AS (
+      SELECT doc_id, line_start, length(body) AS size, p.piece, p.place
+      FROM bodies, unnest(regexp_extract_all(' ' || body, '[^.!?\\n]+(?:[.!?]+[^.!?\\x20\\x09-\\x0D][^.!?\\n]*)*[.!?]*'))
+        WITH ORDINALITY AS p(piece, place)
+    ), placed AS (
+      SELECT *, line_start - 1 + coalesce(sum(length(piece)) OVER (PARTITION BY doc_id, line_start ORDER BY place
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM pieces
+    ), found AS (
+      SELECT doc_id, line_start, true AS whole, line_start AS start, body FROM bodies
+      UNION ALL
+      SELECT doc_id, line_start, false, pos + length(piece) - length(ltrim(piece, WHITE)), trim(piece, WHITE)
+      FROM placed WHERE length(trim(piece, WHITE)) < size
+    ), words AS (
+      SELECT *, regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+') AS w FROM found
+    ), units AS (
+      SELECT doc_id, line_start, whole, start, start + length(body) AS stop,
+        translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS normal
+      FROM words WHERE len(w) >= 6 AND length(array_to_string(w, ' ')) >= 40
+    ), ranked AS (
+      SELECT *, first_value(doc_id) OVER g AS kept, row_number() OVER g AS n
+      FROM units WINDOW g AS (PARTITION BY normal ORDER BY doc_id, start)
+    ), gone AS (
+      SELECT *, bool_or(whole) OVER (PARTITION BY doc_id, line_start) AS line_goes FROM ranked WHERE n > 1
+    )
+    SELECT doc_id, count(*) AS n_removed, sum(stop - start)::BIGINT AS chars_removed,
+      string_agg(start::BIGINT || ':' || stop::BIGINT || ':' || kept, ',' ORDER BY start) AS removed
+    FROM gone WHERE whole OR NOT line_goes GROUP BY doc_id
+""".replace("WHITE", "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"))
+def op3_whole_lines(table) -> DataFrame:
+    """The same for whole lines, and for the sentences of lines that stay."""
+    return _removed(line_dedup.repeated(table("documents")))
+
+
 @query()
 def op4_quality_fertility(table) -> DataFrame:
     return table("documents").select("doc_id", fertility.quality(F.col("text"), PIECES).alias("q")).select("doc_id", "q.*")

@@ -132,6 +132,20 @@ def test_repeated_units(spark, docs):
     assert line_dedup.deduplicated(docs).columns == docs.columns
 
 
+def test_repeated_lines_of_short_sentences(spark):
+    line = "The and attion to thanedble the, anea. Eriner thanea."  # no sentence in it reaches the floor
+    long = "This sentence of many words stands in several documents here."
+    rows = [(1, f"{line}\n{long} Short end."), (2, f"a\n  {line.upper()} \n...b"), (3, f"{long} Short  end.\nx {long}"), (4, f"One more. {line}"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    at = len(line) + 1
+    got = sorted(tuple(r.values())[:1] + tuple(r.values())[2:] for r in rows_of(line_dedup.repeated(df)))
+    # The line of document 3 goes whole, once and not with its sentence; in its next line the sentence starts with x.
+    assert got == [(2, 4, 4 + len(line), 1, 0), (3, 0, len(long) + 12, 1, at)]
+    clean = {r["doc_id"]: r["text"] for r in rows_of(line_dedup.deduplicated(df))}
+    assert clean == {1: rows[0][1], 2: "a\n   \n...b", 3: f"\nx {long}", 4: rows[3][1], 5: None}
+    assert line_dedup.repeated(df, lines=False).select("doc_id", "start").collect() == [(3, 0)]
+
+
 # -- fertility
 
 
