@@ -172,7 +172,7 @@ def op3_whole_lines(table) -> DataFrame:
 
 @query()
 def op4_quality_fertility(table) -> DataFrame:
-    return table("documents").select("doc_id", fertility.quality(F.col("text"), PIECES).alias("q")).select("doc_id", "q.*")
+    return table("documents").select("doc_id", fertility.quality(F.col("text"), PIECES, lang=F.col("lang")).alias("q")).select("doc_id", "q.*")
 
 
 @query()

@@ -175,6 +175,24 @@ def test_fertility_bands():
     assert rows[0]["fallback_share"] > 0.5 and not rows[0]["kept"] and rows[1]["kept"]
 
 
+def test_default_bands(spark):
+    """Clean documents of the tables stay; the same texts stuffed, shouted, spaced or as noise are rejected, each in its language."""
+    rng = random.Random(6)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) between 2000 and 9000").orderBy("doc_id").collect()
+    made = {
+        "clean": lambda t: t, "shouted": str.upper, "spaced": lambda t: " ".join(t.replace(" ", "")),
+        "stuffed": lambda t: " ".join(f"{w} {rng.choice(['***', '%%%', '$$$'])}" for w in t.split()),
+        "noise": lambda t: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in w) for w in t.split()),
+    }
+    rows = [(kind, r["lang"], f(r["text"])) for r in table if not set("#*$%&|<>") & set(r["text"]) for kind, f in made.items()]
+    df = spark.createDataFrame(rows, "kind string, lang string, text string")
+    passed = df.select("kind", "lang", fertility.quality(F.col("text"), PIECES, lang=F.col("lang")).alias("q")).where("not q.base_failed")
+    share = {(r["kind"], r["lang"]): r["s"] for r in passed.groupBy("kind", "lang").agg(F.avg(F.col("q.kept").cast("int")).alias("s")).collect()}
+    assert {lang for _, lang in share} == set(fertility.LANGUAGES)
+    for (kind, _), s in share.items():
+        assert s > 0.9 if kind == "clean" else s < 0.05
+
+
 # -- n-gram join
 
 
