@@ -33,6 +33,7 @@ LENGTHS = tuple(dict.fromkeys(int(1.25**k) for k in range(60)))
 #: Bits of the filters of the items' grams and keys; more items only let more windows through.
 TABLE_BITS = (20, 25)
 MOST_REPEATS = 64
+NEAR = 16
 
 
 def length_class(n: int) -> int:
@@ -76,29 +77,61 @@ def keys(windows: np.ndarray, repeat: int) -> np.ndarray:
     return key
 
 
+def _edited(rng: np.random.Generator, words: list[int], edits: int) -> list[int]:
+    """The words after that many replaced, inserted or dropped words, at any place."""
+    words = list(words)
+    for _ in range(edits):
+        where, kind = int(rng.integers(len(words) + 1)), int(rng.integers(3))
+        words[where : where + (kind != 1)] = [int(rng.integers(1, 1 << 62))] * (kind != 2)
+    return words
+
+
+def _pair_repeats(n: int, k: int, wanted: float, trials: int) -> int:
+    """The fewest repetitions that find the wanted share of random items of n words, each in a text with k edits.
+
+    A pair is found by any of the windows near its place that the count filter lets through, in any repetition; windows
+    further than ``NEAR`` words off are left out here, which can only ask for more repetitions.
+    """
+    length, rng = length_class(n), np.random.default_rng([n, k])
+    g = min(GRAM, n)
+    span, least = n + k, max(1, n - g + 1 - g * k)
+    first = rng.integers(1, 1 << 62, (trials, n)).astype(np.uint64)
+    windows, owner = [], []
+    for row in range(trials):
+        text = np.array([*rng.integers(1, 1 << 62, k).tolist(), *_edited(rng, first[row].tolist(), k),
+                         *rng.integers(1, 1 << 62, span + n).tolist()], np.uint64)
+        known = np.cumsum(np.r_[0, np.isin(_grams(text, g), _grams(first[row], g))])
+        starts = np.array([s for s in range(max(0, k - NEAR), k + min(k, NEAR) + 1) if known[min(s + span - g + 1, len(known) - 1)] - known[s] >= least], np.int64)
+        windows.append(text[starts[:, None] + np.arange(length)[None, :]])
+        owner.append(np.full(len(starts), row))
+    near, owner = np.concatenate(windows), np.concatenate(owner)
+    lost = np.ones(trials, bool)
+    times = 0
+    while lost.mean() > 1 - wanted:
+        mine = keys(first[:, :length], times)
+        lost[owner[keys(near, times) == mine[owner]]] = False
+        left = lost[owner]  # what is found needs no more repetitions
+        near, owner, times = near[left], owner[left], times + 1
+        if times == MOST_REPEATS:
+            break
+    return max(1, times)
+
+
 @lru_cache(maxsize=None)
 def repeats(length: int, edits: float = EDITS, recall: float = RECALL) -> int:
-    """Repetitions that find a window at the largest distance allowed with the wanted probability.
+    """Repetitions that find an item of a window length at the largest distance allowed with the wanted probability.
 
-    The chance of one repetition is measured on random sequences with that many random edits.
+    Repetitions of one pair are not independent, so what is measured is the share of random pairs that any of them
+    finds, over all word counts of this window length whose distance is larger than that of the count before. The
+    share has to be over the recall by twice its standard error.
     """
     longest = next((x for x in LENGTHS if x > length), length + 1) - 1
-    k = edits_allowed(longest, edits)
-    if k == 0:
-        return 1
-    rng = np.random.default_rng(length)
-    trials = 2000
-    first = rng.integers(1, 1 << 62, (trials, 2 * longest)).astype(np.uint64)
-    other = np.empty((trials, length), np.uint64)
-    for row in range(trials):
-        words = first[row].tolist()
-        for _ in range(k):  # a replaced, an inserted or a dropped word; the first word stays, see `starts`
-            where, kind = int(rng.integers(1, longest)), int(rng.integers(3))
-            words[where : where + (kind != 1)] = [int(rng.integers(1, 1 << 62))] * (kind != 2)
-        other[row] = np.array(words[:length], np.uint64)
-    found = [float(np.mean(keys(first[:, :length], r) == keys(other, r))) for r in range(8)]
-    chance = min(max(float(np.mean(found)), 1e-3), 1 - 1e-9)
-    return min(MOST_REPEATS, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
+    hardest: dict[int, int] = {}
+    for n in range(length, longest + 1):
+        hardest.setdefault(edits_allowed(n, edits), n)
+    trials = 2000 if length <= 100 else 500
+    wanted = min(recall + 2 * math.sqrt(recall * (1 - recall) / trials), 1 - 1 / trials)
+    return max((_pair_repeats(n, k, wanted, trials) for k, n in hardest.items() if k), default=1)
 
 
 class Words:

@@ -344,6 +344,29 @@ def test_leaks(spark, docs):
     assert decontaminate.matches(df, bench.where("item_id > 90")).count() == 0
 
 
+def test_recall_at_the_full_distance(spark):
+    """Items of 15 to 35 words, each with as many edits as are allowed and at any word, against the exact distance."""
+    rng = random.Random(12)
+    items, rows, near = [], [], set()
+    for k, n in enumerate([n for n in range(15, 36) for _ in range(30)]):
+        item = [f"w{rng.randrange(90_000)}" for _ in range(n)]
+        words = list(item)
+        for _ in range(decontaminate.edits_allowed(n)):
+            at, kind = rng.randrange(len(words) + 1), rng.randrange(3)
+            words[at : at + (kind != 1)] = [f"new{rng.random()}"] * (kind != 2)
+        text = [*prose(rng, 30).split(), *words, *prose(rng, 30).split()]
+        if decontaminate.edit_match(item, text)[0] <= decontaminate.edits_allowed(n):
+            near.add((k, n))
+        items.append((k, " ".join(item)))
+        rows.append((k, " ".join(text)))
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"] for r in decontaminate.matches(df, bench).where("doc_id = item_id").collect()}
+    assert len(near) == len(items)
+    for low, high in ((15, 17), (18, 21), (22, 27), (28, 35)):
+        pairs = [k for k, n in near if low <= n <= high]
+        assert sum(k in got for k in pairs) >= decontaminate.RECALL * len(pairs)
+
+
 # -- pages
 
 
