@@ -8,13 +8,17 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playtide.llm import chat, decontaminate, fertility, html_blocks, langid, line_dedup, ngram_join, secret_scan, token_files, word_bpe
+from playtide.llm import (
+    best_position, chat, decontaminate, fertility, filter_audit, html_blocks, langid, line_dedup, ngram_join, secret_scan, token_files,
+    tree_bpe, word_bpe,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -215,3 +219,88 @@ def op10_word_bpe(table) -> DataFrame:
 def op9_html_blocks(table) -> DataFrame:
     return table("pages").select("page_id", "url", html_blocks.extract(F.col("html")).alias("text")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op11_tree_bpe(table) -> DataFrame:
+    found = table("documents").select("doc_id", tree_bpe.round_trip(F.col("text"), RANKS).alias("t"))
+    return found.select(
+        "doc_id",
+        F.size("t.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("t.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("t.decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("""
+    WITH terms AS (
+      SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM documents
+    ), lengths AS (
+      SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+    ), whole AS (
+      SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths
+    ), wanted AS (
+      SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM benchmark
+    ), counts AS (
+      SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term
+    ), weights AS (
+      SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, whole GROUP BY term
+    ), impacts AS (
+      SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))) AS impact
+      FROM counts JOIN weights USING (term) JOIN lengths USING (doc_id), whole
+    ), scores AS (
+      SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM wanted JOIN impacts USING (term) GROUP BY item_id, doc_id
+    ), ranked AS (
+      SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+      FROM scores WHERE score > 0
+    )
+    SELECT * FROM ranked WHERE rank <= 10
+""")
+def op12_best_position(table) -> DataFrame:
+    return best_position.top_documents(table("documents"), table("benchmark"))
+
+
+@query("""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), failed AS (
+      SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * list_unique(w) < 50 * len(w) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+      FROM words
+    ), cells AS (
+      SELECT part, mask, count(*) AS docs,
+        count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)) AS good,
+        count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)) AS toxic
+      FROM failed GROUP BY part, mask
+    ), letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    orders(filter_order, applied, bits) AS (
+      SELECT letter, bit, [bit] FROM letters
+      UNION ALL
+      SELECT filter_order || letter, applied + bit, list_append(bits, bit) FROM orders JOIN letters ON applied & bit = 0
+    ), places AS (
+      SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS applied
+      FROM orders, range(1, 6) AS r(step) WHERE applied = 31
+    ), metrics AS (
+      SELECT part, filter_order, step, bit,
+        coalesce(sum(docs) FILTER (mask & (applied | bit) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(docs) FILTER (mask & applied = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+        coalesce(sum(docs) FILTER (mask & applied <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+        coalesce(sum(docs) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (mask & applied = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (mask & applied = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+      FROM cells, places GROUP BY part, filter_order, step, bit
+    )
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+      (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+    FROM metrics
+""")
+def op13_filter_audit(table) -> DataFrame:
+    return filter_audit.audit(table("documents"), table("labels"))
