@@ -77,6 +77,35 @@ def of_action(*codes: int) -> Column:
     return action == codes[0] if len(codes) == 1 else action.isin(*codes)
 
 
+#: What becomes of an event: a result, an event of an unknown realm, or one without a session id.
+KNOWN, MISSED, INVALID = "known", "missed", "invalid"
+
+
+def tagged(events: DataFrame, realms: DataFrame, sessions: bool = False) -> DataFrame:
+    """Events with ``realm_id``, ``name`` and an ``outcome``: known, missed or, where sessions count, invalid."""
+    outcome = F.when(F.col("realm_id").isNotNull(), KNOWN).otherwise(MISSED)
+    if sessions:
+        outcome = F.when(F.coalesce(has_session(), F.lit(False)), outcome).otherwise(INVALID)
+    return resolve_realm(events, realms).withColumn("outcome", outcome)
+
+
+def outcome_counts() -> list[Column]:
+    """Totals over tagged events: how many there are in all and of each outcome."""
+    outcome = F.col("outcome")
+    return [F.count("*").alias("wanted"), *(F.count_if(outcome == kind).alias(kind) for kind in (KNOWN, MISSED, INVALID))]
+
+
+def audit_rows(tagged_events: DataFrame) -> DataFrame:
+    """Events that gave no result, with the reason and the whole event as JSON."""
+    event = [c for c in tagged_events.columns if c not in ("realm_id", "name", "outcome")]
+    cid = F.col("payload.cid") if "cid" in tagged_events.schema["payload"].dataType.names else F.lit(None).cast("string")
+    who = F.col("customerId") if "customerId" in event else F.lit(None).cast("string")
+    return tagged_events.where(F.col("outcome") != KNOWN).select(
+        F.col("outcome").alias("reason"), "realm", cid.alias("session_id"), who.alias("customer_id"), "ts",
+        F.to_json(F.struct(*event)).alias("event"),
+    )
+
+
 def event_metrics(events: DataFrame, realms: DataFrame) -> DataFrame:
     """Total, matched, missed and invalid-session counts in one pass over the events."""
     slim = events.select("realm", F.col("payload.cid").alias("cid"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from playtide.functions.fields import add_row_id
 from playtide.operators.lookup import Outcome, of_action, of_type, resolve_realm, split_realm
@@ -13,10 +13,18 @@ from playtide.schemas import USER_SIGN_IN
 
 def logins(events: DataFrame, realms: DataFrame) -> Outcome:
     """Sign-in attempts; anything but a successful login, also a missing type, is a failure."""
-    attempts = events.where(of_action(USER_SIGN_IN))
+    known, missed = split_realm(events.where(is_login()), realms)
+    return Outcome(login_rows(known), missed)
+
+
+def is_login() -> Column:
+    return of_action(USER_SIGN_IN)
+
+
+def login_rows(known: DataFrame) -> DataFrame:
+    """The rows of sign-in attempts whose realm is resolved."""
     succeeded = F.coalesce(of_type("SUCCESSFUL_LOGIN"), F.lit(False))
-    known, missed = split_realm(attempts, realms)
-    rows = known.select(
+    return known.select(
         "realm_id",
         "town",
         "country",
@@ -26,13 +34,20 @@ def logins(events: DataFrame, realms: DataFrame) -> Outcome:
         succeeded.alias("is_success"),
         F.col("customerId").alias("customer_id"),
     )
-    return Outcome(rows, missed)
 
 
 def signups(events: DataFrame, realms: DataFrame) -> Outcome:
-    registered = events.where(of_type("REGISTER_USER"))
-    known, missed = split_realm(registered, realms)
-    rows = known.select(
+    known, missed = split_realm(events.where(is_signup()), realms)
+    return Outcome(signup_rows(known), missed)
+
+
+def is_signup() -> Column:
+    return of_type("REGISTER_USER")
+
+
+def signup_rows(known: DataFrame) -> DataFrame:
+    """The rows of registrations whose realm is resolved."""
+    return known.select(
         "realm_id",
         "town",
         "country",
@@ -40,7 +55,6 @@ def signups(events: DataFrame, realms: DataFrame) -> Outcome:
         F.col("payload.data.device").alias("device"),
         F.col("customerId").alias("customer_id"),
     )
-    return Outcome(rows, missed)
 
 
 @dataclass(frozen=True)

@@ -23,21 +23,26 @@ class Buckets:
 def bucket_events(events: DataFrame, realms: DataFrame) -> Buckets:
     """Events of known realms with their date parts, and how many there are per date."""
     known, missed = split_realm(events, realms)
-    dated = known.withColumns(date_parts(F.col("ts")))
-    return Buckets(dated, count_per_date(dated), missed)
+    rows = dated(known)
+    return Buckets(rows, count_per_date(rows), missed)
 
 
-def count_per_date(dated: DataFrame) -> DataFrame:
-    return dated.groupBy("date").agg(F.count("date").alias("count")).orderBy("date")
+def dated(known: DataFrame) -> DataFrame:
+    """Events whose realm is resolved, with their date parts."""
+    return known.withColumns(date_parts(F.col("ts")))
 
 
-def write_buckets(dated: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
+def count_per_date(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("date").agg(F.count("date").alias("count")).orderBy("date")
+
+
+def write_buckets(rows: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
     """Write events under ``year=/month=/day=/hour=`` folders.
 
     The rebalance hint gathers an hour's events into few files and splits an hour that is too
     large for one task.
     """
-    writer = dated.hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS)
+    writer = rows.hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS)
     if fmt == "json":
         writer = writer.option("timestampFormat", JSON_TIMESTAMP)
     writer.format(fmt).save(path)

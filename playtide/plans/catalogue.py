@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from playtide.functions.fields import sorted_join
 from playtide.functions.times import seconds_between
@@ -24,22 +24,41 @@ class EventTimes:
 
 def event_times(events: DataFrame, realms: DataFrame) -> EventTimes:
     """When live events went on and off air."""
-    changes = events.where(of_type(WENT_LIVE, WENT_OFF))
-    known, missed = split_realm(changes, realms)
+    known, missed = split_realm(events.where(is_change()), realms)
+    return EventTimes(start_rows(known), finish_rows(known), missed)
+
+
+def is_change() -> Column:
+    return of_type(WENT_LIVE, WENT_OFF)
+
+
+def _times(known: DataFrame, kind: str, name: str) -> DataFrame:
     event_id = F.col("payload.data.DGE_EVENT_ID").alias("event_id")
-    return EventTimes(
-        known.where(of_type(WENT_LIVE)).select(event_id, "realm_id", F.col("ts").alias("start_at")),
-        known.where(of_type(WENT_OFF)).select(event_id, "realm_id", F.col("ts").alias("finish_at")),
-        missed,
-    )
+    return known.where(of_type(kind)).select(event_id, "realm_id", F.col("ts").alias(name))
+
+
+def start_rows(known: DataFrame) -> DataFrame:
+    return _times(known, WENT_LIVE, "start_at")
+
+
+def finish_rows(known: DataFrame) -> DataFrame:
+    return _times(known, WENT_OFF, "finish_at")
 
 
 def live_catalogue(events: DataFrame, realms: DataFrame) -> Outcome:
-    updates = events.where(of_type(LIVE_UPDATED))
+    known, missed = split_realm(events.where(is_live_update()), realms)
+    return Outcome(live_catalogue_rows(known), missed)
+
+
+def is_live_update() -> Column:
+    return of_type(LIVE_UPDATED)
+
+
+def live_catalogue_rows(known: DataFrame) -> DataFrame:
+    """The rows of live events whose realm is resolved."""
     video = "payload.data.v."
     start, end = F.col(video + "startDate"), F.col(video + "endDate")
-    known, missed = split_realm(updates, realms)
-    rows = known.select(
+    return known.select(
         "realm_id",
         F.col(video + "title").alias("title"),
         F.col(video + "eventId").alias("event_id"),
@@ -55,15 +74,22 @@ def live_catalogue(events: DataFrame, realms: DataFrame) -> Outcome:
         end.alias("finish_at"),
         F.col(video + "updatedAt").alias("updated_at"),
     )
-    return Outcome(rows, missed)
 
 
 def vod_catalogue(events: DataFrame, realms: DataFrame) -> Outcome:
     """On-demand videos; the import time is known only for newly added ones."""
-    updates = events.where(of_type(UPDATED_VOD, NEW_VOD))
+    known, missed = split_realm(events.where(is_vod_update()), realms)
+    return Outcome(vod_catalogue_rows(known), missed)
+
+
+def is_vod_update() -> Column:
+    return of_type(UPDATED_VOD, NEW_VOD)
+
+
+def vod_catalogue_rows(known: DataFrame) -> DataFrame:
+    """The rows of videos whose realm is resolved."""
     video = "payload.data.v."
-    known, missed = split_realm(updates, realms)
-    rows = known.select(
+    return known.select(
         F.col("payload.data.vid").alias("video_id"),
         F.col(video + "vodDveId").alias("video_dve_id"),
         "realm_id",
@@ -77,7 +103,6 @@ def vod_catalogue(events: DataFrame, realms: DataFrame) -> Outcome:
         F.when(of_type(NEW_VOD), F.col("ts")).alias("imported_at"),
         F.col("ts").alias("updated_at"),
     )
-    return Outcome(rows, missed)
 
 
 def vod_backfill(rows: DataFrame) -> DataFrame:

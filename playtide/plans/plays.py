@@ -24,8 +24,12 @@ def vod_plays(events: DataFrame, realms: DataFrame, stored: DataFrame | None = N
     watched = events.where(of_action(VOD_PROGRESS))
     valid = watched.where(has_session())
     known, missed = split_realm(valid, realms)
-    result = ops.vod_rollup(ops.heartbeats(known), _touched(valid, stored))
-    return Outcome(result, missed, _invalid(watched))
+    return Outcome(vod_rows(known, valid, stored), missed, _invalid(watched))
+
+
+def vod_rows(known: DataFrame, valid: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Plays of resolved events, with the stored plays of all valid sessions merged in."""
+    return ops.vod_rollup(ops.heartbeats(known), _touched(valid, stored))
 
 
 def live_plays(
@@ -34,8 +38,14 @@ def live_plays(
     watched = events.where(of_action(LIVE_WATCHING))
     valid = watched.where(has_session())
     known, missed = split_realm(valid, realms)
-    result = ops.live_rollup(ops.heartbeats(known), _touched(valid, stored), recompute)
-    return Outcome(result, missed, _invalid(watched))
+    return Outcome(live_rows(known, valid, stored, recompute), missed, _invalid(watched))
+
+
+def live_rows(
+    known: DataFrame, valid: DataFrame, stored: DataFrame | None = None, recompute: bool = False
+) -> DataFrame:
+    """Plays of resolved events, with the stored plays of all valid sessions merged in."""
+    return ops.live_rollup(ops.heartbeats(known), _touched(valid, stored), recompute)
 
 
 def session_durations(events: DataFrame, realms: DataFrame) -> Outcome:

@@ -27,40 +27,6 @@ ACTION_NAMES = {
     OTHER: "OTHER",
 }
 
-# Event types found in ``payload.data.TA``.
-EVENT_TYPES = (
-    "ADMIN_SUSPEND",
-    "EVENT_ADDED_TO_FAVOURITES",
-    "EVENT_ADDED_TO_WATCH_HISTORY",
-    "EVENT_REMOVED_FROM_FAVOURITE",
-    "EVENT_WENT_LIVE",
-    "EVENT_WENT_NOTLIVE",
-    "FAILED_LOGIN",
-    "LIVESTREAMING_EVENT_UPDATED",
-    "NEW_PLAYLIST_FROM_DVE",
-    "NEW_VOD_FROM_DVE",
-    "NOK",
-    "OK",
-    "PLAYLIST_RELATED_VIDEO",
-    "REFRESH_TOKEN",
-    "REGISTER_USER",
-    "RESET_PASSWORD",
-    "RESET_PASSWORD_REQUEST",
-    "SUCCESSFUL_LOGIN",
-    "SUCCESSFUL_PURCHASE",
-    "UPDATED_PLAYLIST",
-    "UPDATED_VOD",
-    "USER_ASKED_FOR_EVENT_STREAM",
-    "USER_ASKED_FOR_MISSING_EVENT",
-    "USER_ASKED_FOR_MISSING_VOD",
-    "USER_ASKED_FOR_VOD",
-    "USER_ASKED_FOR_VOD_STREAM",
-    "VOD_ADDED_TO_FAVOURITES",
-    "VOD_ADDED_TO_WATCHED",
-    "VOD_REMOVED_FROM_FAVOURITE",
-)
-
-
 STRING, BOOLEAN, TIMESTAMP = T.StringType(), T.BooleanType(), T.TimestampType()
 BYTE, SHORT, INT, LONG = T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()
 FLOAT = T.FloatType()
@@ -191,3 +157,12 @@ LIVE_PLAY_KEYS = (
 )
 VOD_PLAY_KEYS = tuple(k for k in LIVE_PLAY_KEYS if k != "device")
 SESSION_KEYS = tuple(k for k in VOD_PLAY_KEYS if k != "video_id")
+
+#: Fact tables that are stored by date, and the time that gives it.
+FACT_TIMES = {
+    "payment": "ts",
+    "subscription": "ts",
+    "vod_play": "started_at",
+    "live_play": "started_at",
+    "session_duration": "start_at",
+}

@@ -34,6 +34,7 @@ def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),  # operators that number their groups read this one
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(2 * TARGET_PARTITION_BYTES),
     }

@@ -10,9 +10,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from playtide.operators.plays import add_durations, merge_watch_time
 from playtide.operators.skew import fits_broadcast
-from playtide.sources.tables import FolderStore, TableStore
+from playtide.sources.tables import FolderStore, TableStore, staged
 from playtide.streaming.messages import (
-    BRANCHES, VIEWING_KEYS, WATCH_KEYS, decode_messages, with_experiment,
+    BRANCHES, VIEWING_KEYS, WATCH_KEYS, decode_heartbeats, decode_messages, with_experiment,
 )
 
 EVERY_TWO_SECONDS = {"processingTime": "2 seconds"}
@@ -50,10 +50,14 @@ def watch_totals(messages: DataFrame, arrival: Column) -> DataFrame:
     )
 
 
-def latest_totals(log: DataFrame, keys: tuple[str, ...] = WATCH_KEYS) -> DataFrame:
-    """The current total of each key, from a log to which every batch appended its new totals: that of the last batch."""
+def latest_totals(log: DataFrame, keys: tuple[str, ...] = WATCH_KEYS, *more: str) -> DataFrame:
+    """The current total of each key, from a log to which every batch appended its new totals: that of the last batch.
+
+    ``more`` names columns whose largest value is kept as well.
+    """
     return log.groupBy(*keys).agg(
-        F.max_by("duration", "batch_id").alias("duration"), F.max("event_datetime").alias("event_datetime")
+        F.max_by("duration", "batch_id").alias("duration"), F.max("event_datetime").alias("event_datetime"),
+        *(F.max(c).alias(c) for c in more),
     )
 
 
@@ -66,14 +70,16 @@ def start_fan_out(
     trigger: dict | None = None,
     arrival: Column | None = None,
     decode: Decoder = decode_messages,
+    decode_beats: Decoder | None = None,
 ) -> list[StreamingQuery]:
     """Start the stream jobs and return their queries.
 
     The append-only tables and the dead letters share one query that decodes each micro-batch once.
     Watch time is a second query with the totals as state: it emits the new totals of the keys in the
-    batch and never reads its table back. Each batch writes under its own id, so a batch that is
-    run again replaces its rows.
+    batch and never reads its table back. It parses heartbeats only (``decode_beats``; with a decoder of the caller's own
+    that one, unless both are given). Each batch writes under its own id, so a batch that is run again replaces its rows.
     """
+    beats = decode_beats or (decode_heartbeats if decode is decode_messages else decode)
     tables = list(tables)
     small = fits_broadcast(names)
     now = F.current_timestamp() if arrival is None else arrival
@@ -88,9 +94,8 @@ def start_fan_out(
         def totals(batch: DataFrame, batch_id: int) -> None:
             store.write_batch(batch, "video_play", batch_id)
 
-        queries.append(
-            start_query(watch_totals(messages, now), "update", totals, f"{checkpoint}/video_play", trigger)
-        )
+        watched = watch_totals(with_experiment(beats(stream), names, small=small), now)
+        queries.append(start_query(watched, "update", totals, f"{checkpoint}/video_play", trigger))
     return queries
 
 
@@ -108,16 +113,21 @@ def run_to_end(queries: list[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
+#: Batches after which the totals of a log are folded into a snapshot.
+FOLD_EVERY = 16
+
+
 def append_totals(
-    rows: DataFrame, store: FolderStore, table: str, batch_id: int, keys: tuple[str, ...] = WATCH_KEYS
+    rows: DataFrame, store: FolderStore, table: str, batch_id: int, keys: tuple[str, ...] = WATCH_KEYS,
+    fold_every: int = FOLD_EVERY,
 ) -> None:
     """Add a micro-batch's watch rows to the totals in a table, for stores that hold earlier totals.
 
-    Only totals of earlier batches count, so running a batch again gives the same rows.
+    Only totals of earlier batches count, so running a batch again gives the same rows. They come from a snapshot with
+    the latest total of each key and from the batches after it, at most ``fold_every`` and a few, however long the log is.
     """
-    log = store.find(table)
-    if log is not None:
-        earlier = log.where(F.col("batch_id") < batch_id)
+    earlier = _totals_before(store, table, batch_id, keys, fold_every)
+    if earlier is not None:
         totals = merge_watch_time(rows, earlier, keys)
     else:
         totals = rows.groupBy(*keys).agg(
@@ -126,13 +136,47 @@ def append_totals(
     store.write_batch(totals, table, batch_id)
 
 
+def _totals_before(
+    store: FolderStore, table: str, batch_id: int, keys: tuple[str, ...], fold_every: int
+) -> DataFrame | None:
+    """Totals of the batches before this one; folds them first when the snapshot is ``fold_every`` batches old.
+
+    The snapshot's version is the number of batches it covers, so a fold that failed is found undone, and a batch
+    that comes again after its own fold reads the log instead.
+    """
+    snapshot = f"{table}__snapshot"
+    covered = store.version(snapshot) or 0
+    if covered > batch_id:
+        return store.batches(table, -1, batch_id)
+    columns = [*keys, "duration", "event_datetime", "batch_id"]
+    parts = [store.buckets(snapshot), store.batches(table, covered - 1, batch_id)]
+    found = [p.select(*columns) for p in parts if p is not None]
+    if not found:
+        return None
+    earlier = reduce(DataFrame.unionByName, found)
+    if batch_id - covered < fold_every:
+        return earlier
+    folded = latest_totals(earlier, keys, "batch_id").withColumn("bucket", F.lit(0))
+    store.replace_buckets(folded, snapshot, batch_id)
+    return store.buckets(snapshot).select(*columns)
+
+
+#: Parts of a table of sums; a batch rewrites those that its keys fall into. Fixed for the life of a table.
+BUCKETS = 64
+
+
 def rewrite_totals(
-    rows: DataFrame, store: TableStore, table: str, batch_id: int, keys: tuple[str, ...] = VIEWING_KEYS
+    rows: DataFrame, store: TableStore, table: str, batch_id: int, keys: tuple[str, ...] = VIEWING_KEYS,
+    buckets: int = BUCKETS,
 ) -> bool:
     """Rewrite a table of summed durations with a micro-batch added; says whether it did.
 
-    Every row carries the last batch that was added, so a batch that comes again is left out.
+    In a folder store only the buckets of the batch's keys are read and written. The table's version is the last batch
+    that was added, so a batch that comes again is left out. Other stores rewrite the table as a whole, and
+    every row carries the last batch.
     """
+    if isinstance(store, FolderStore):
+        return _rewrite_buckets(rows, store, table, batch_id, keys, buckets)
     held = store.find(table)
     total = rows.groupBy(*keys).agg(F.sum("duration").alias("duration"))
     if held is not None:
@@ -144,6 +188,24 @@ def rewrite_totals(
     return True
 
 
+def _rewrite_buckets(
+    rows: DataFrame, store: FolderStore, table: str, batch_id: int, keys: tuple[str, ...], buckets: int
+) -> bool:
+    last = store.version(table)
+    if last is not None and last >= batch_id:
+        return False
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    sums = rows.groupBy(*keys).agg(F.sum("duration").alias("duration"))
+    sums = staged(sums.withColumn("bucket", bucket), "batch-sums")
+    touched = [r["bucket"] for r in sums.select("bucket").distinct().collect()]  # at most as many as buckets
+    if not touched:
+        return True
+    held = store.buckets(table, touched)
+    total = sums.drop("bucket") if held is None else add_durations(sums, held, keys)
+    store.replace_buckets(total.withColumn("bucket", bucket), table, batch_id)
+    return True
+
+
 def start_rewrite(
     stream: DataFrame,
     names: DataFrame,

@@ -16,6 +16,9 @@ from playtide.schemas import MESSAGE
 # Coordinates outside the valid range mark a missing position.
 NO_LATITUDE, NO_LONGITUDE = 181, 361
 
+#: Fixed value: the type of messages that report watch time.
+HEARTBEAT = "VIDEO_HB"
+
 _UNREAD = "__unread"
 
 WATCH_KEYS = (
@@ -24,16 +27,21 @@ WATCH_KEYS = (
 VIEWING_KEYS = WATCH_KEYS[:4]
 
 
-def decode_messages(messages: DataFrame, column: str = "value") -> DataFrame:
+def decode_messages(messages: DataFrame, column: str = "value", mark: str | None = None) -> DataFrame:
     """One row per record of each message, whose text is a JSON array of records or one record.
 
     ``record`` keeps the record's text; ``readable`` is false when it is no JSON object or a field
     has the wrong shape. Records are parsed inside the explode, so filters on their fields do not
-    parse them again.
+    parse them again. With ``mark`` records are parsed only where their text holds these characters, or an escape
+    that could stand for them: all records with a value of that name, and perhaps some others.
     """
     text = F.trim(F.col(column).cast("string"))
+    if mark is not None:
+        messages = messages.where(_holds(text, mark))
     many = F.coalesce(F.from_json(text, "array<string>"), F.array(text))
     records = F.filter(F.when(text.startswith("["), many).otherwise(F.array(text)), lambda r: r != "")
+    if mark is not None:
+        records = F.filter(records, lambda r: _holds(r, mark))
     schema = T.StructType([*MESSAGE.fields, T.StructField(_UNREAD, T.StringType())])
     options = {"columnNameOfCorruptRecord": _UNREAD}
     parsed = F.transform(
@@ -44,6 +52,15 @@ def decode_messages(messages: DataFrame, column: str = "value") -> DataFrame:
     return rows.select(*[F.col(f"r.m.{f}").alias(f) for f in MESSAGE.names], "r.record", readable.alias("readable"))
 
 
+def _holds(text: Column, mark: str) -> Column:
+    return text.contains(mark) | text.contains("\\u")
+
+
+def decode_heartbeats(messages: DataFrame, column: str = "value") -> DataFrame:
+    """As ``decode_messages``, for the heartbeats among the records alone."""
+    return decode_messages(messages, column, HEARTBEAT)
+
+
 def decode_avro(messages: DataFrame, avro_schema: str, column: str = "value") -> DataFrame:
     """One row per Avro-encoded message record; needs the ``spark-avro`` package on the classpath."""
     from pyspark.sql.avro.functions import from_avro
@@ -163,7 +180,7 @@ BRANCHES = {
     b.table: b
     for b in (
         Branch("register_user", lambda: F.col("event_name") == "REGISTER_SUCCESS", register_rows, _GEO),
-        Branch("video_play", lambda: F.col("message_type") == "VIDEO_HB", video_rows, ("duration", *_GEO)),
+        Branch("video_play", lambda: F.col("message_type") == HEARTBEAT, video_rows, ("duration", *_GEO)),
         Branch("purchases", lambda: F.col("event_name") == "PURCHASE_CONFIRMATION", purchase_rows, ("price", *_GEO)),
         Branch("ratings", lambda: F.col("event_name") == "STREAM_RATING", rating_rows, ("rating", *_GEO)),
         Branch("email_status", lambda: F.col("role") == "email-delivery", email_rows, ("event_timestamp",)),
@@ -173,7 +190,7 @@ BRANCHES = {
 
 def record_kind() -> Column:
     """Which row builder a record calls for, by its message type and then its event name."""
-    watching = F.col("message_type").isin("VIDEO_HB", "VIDEO_STOP")
+    watching = F.col("message_type").isin(HEARTBEAT, "VIDEO_STOP")
     name = F.col("event_name")
     return (
         F.when(watching, "video")

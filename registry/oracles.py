@@ -284,6 +284,31 @@ SELECT * REPLACE ({SECONDS.format(a="start_at", b="end_at")} AS duration) FROM (
     "vod_plays_latest": _merged(VOD_PARTS, 2, VOD_KEYS, "WHERE true"),
     "semi_join_sessions": f"""
 WITH {RESOLVED}, earlier AS ({VOD_PARTS.format("hour(ts) < 12")}) SELECT * FROM earlier WHERE {_touched(2)}""",
+    "semi_join_split": f"""
+WITH {RESOLVED}, earlier AS ({VOD_PARTS.format("hour(ts) < 12")}) SELECT * FROM earlier WHERE {_touched(2)}""",
+    "aggregate_join_split": """
+SELECT event_id, user_id, event_type, count(*) OVER (PARTITION BY user_id) AS events, min(event_id) OVER (PARTITION BY user_id) AS first_event
+FROM events""",
+    "vod_plays_rejected": f"""
+WITH {RESOLVED}
+SELECT CASE WHEN {VALID} THEN 'missed' ELSE 'invalid' END AS reason, realm, cid AS session_id, customer_id, ts, progress
+FROM res WHERE action = 2 AND (realm_id IS NULL OR NOT ({VALID}))""",
+    "job_run_counts": f"""
+WITH {RESOLVED}, runs AS (
+  SELECT 'logins' AS job, realm_id, true AS valid FROM res WHERE action = 6
+  UNION ALL SELECT 'vod_plays', realm_id, {VALID} FROM res WHERE action = 2
+  UNION ALL SELECT 'event_times', realm_id, true FROM res WHERE ta IN ('EVENT_WENT_LIVE', 'EVENT_WENT_NOTLIVE')
+)
+SELECT job, count(*) AS wanted, count(*) FILTER (WHERE valid AND realm_id IS NOT NULL) AS known,
+  count(*) FILTER (WHERE valid AND realm_id IS NULL) AS missed, count(*) FILTER (WHERE NOT valid) AS invalid
+FROM runs GROUP BY job""",
+    "vod_plays_rerun": f"WITH {RESOLVED} {_vod('true')}",
+    "vod_plays_by_date": _merged(VOD_PARTS, 2, VOD_KEYS, "WHERE true"),
+    "plays_append_after_latest": f"""
+{_merged(VOD_PARTS, 2, VOD_KEYS)}
+UNION ALL SELECT {VOD_KEYS}, duration, start_at, end_at FROM earlier""",
+    "revenue_of_range": _revenue("date_trunc('day', ts)").replace(
+        "AND ts IS NOT NULL", "AND ts >= '2024-01-05 00:00:00' AND ts < '2024-01-20 00:00:00'"),
     "session_durations": f"""
 WITH {RESOLVED}
 SELECT realm_id, cid AS session_id, customer_id, max(progress) AS duration, started_at, min(ts) AS start_at, max(ts) AS end_at, country, town
@@ -367,6 +392,16 @@ SELECT CASE event_type WHEN 'signup' THEN 'register_user' WHEN 'click' THEN 'rat
 FROM msg WHERE event_type <> 'view' GROUP BY 1
 UNION ALL SELECT 'video_play', count(*) FROM ({WATCH})""",
     "stream_batch_counts": "SELECT count(*) AS records FROM events",
+    "stream_batch_counts_each": "SELECT CAST((event_id // 20) % 2 AS INTEGER) AS batch_id, count(*) AS n FROM events GROUP BY 1",
+    "cumulative_watch_time_folded": f"""
+WITH {MSG}, {VIEWING},
+parts AS (
+  SELECT user_id, content_id, experiment_id, variant_id, CAST(hour(ts) // 4 AS INTEGER) AS batch_id, sum(duration) AS duration, max(ts) AS ts
+  FROM viewing GROUP BY ALL
+)
+SELECT user_id, content_id, experiment_id, variant_id, CAST(sum(duration) OVER earlier AS BIGINT) AS duration,
+  max(ts) OVER earlier AS event_datetime, batch_id
+FROM parts WINDOW earlier AS (PARTITION BY user_id, content_id, experiment_id, variant_id ORDER BY batch_id)""",
     "cumulative_watch_time": f"""
 WITH {MSG}, {VIEWING},
 halves AS (

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playtide import schemas
 from playtide.functions import fields, times
-from playtide.operators import lookup, plays as play_ops, rates as rate_ops, revenue as revenue_ops
-from playtide.plans import accounts, bucketing, catalogue, plays, revenue
+from playtide.operators import lookup, plays as play_ops, rates as rate_ops, revenue as revenue_ops, skew
+from playtide.plans import accounts, bucketing, catalogue, jobs, plays, revenue
 from playtide.session import work_dir
-from playtide.sources import csv, packed_json, tables
+from playtide.sources import csv, packed_json, streams, tables
 from playtide.streaming import fanout, messages, text
 from registry import inputs
 
@@ -348,6 +348,26 @@ def semi_join_sessions(spark, sf_dir):
     return play_ops.touched_plays(plays.vod_plays(earlier, realms).result, sessions)
 
 
+@query
+def semi_join_split(spark, sf_dir):
+    """The same when the sessions are too many to broadcast: keys with over 50 plays go to several tasks."""
+    log, realms = _log_and_realms(spark, sf_dir)
+    earlier, later = _halves(log)
+    watched = later.where(lookup.of_action(schemas.VOD_PROGRESS) & lookup.has_session())
+    sessions = watched.select(F.col("payload.cid").alias("session_id"))
+    return skew.semi_join(plays.vod_plays(earlier, realms).result, sessions, "session_id", 0, 50)
+
+
+@query
+def aggregate_join_split(spark, sf_dir):
+    """Events beside their user's totals; the totals tell which users are too large for one task."""
+    rows = inputs.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    totals = rows.groupBy("user_id").agg(F.count("*").alias("events"), F.min("event_id").alias("first_event"))
+    totals = tables.staged(totals, "user-totals")
+    hot = skew.hot_counted(totals, ["user_id"], "events", 50)
+    return skew.split_hot_join(rows, totals, ["user_id"], "inner", hot=hot)
+
+
 @query
 def session_durations(spark, sf_dir):
     return plays.session_durations(*_log_and_realms(spark, sf_dir)).result
@@ -433,6 +453,71 @@ def revenue_cube(spark, sf_dir):
     return revenue_ops.revenue_cube(inputs.payments(spark, sf_dir), "day")
 
 
+# --- jobs ----------------------------------------------------------------------------------
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> tables.FolderStore:
+    store = tables.FolderStore(spark, work_dir(spark, "warehouse"))
+    store.append(inputs.realms(spark, sf_dir), "realm")
+    return store
+
+
+@query
+def vod_plays_rejected(spark, sf_dir):
+    """The audit rows of a job: events without a session id, and events of unknown realms."""
+    store = _warehouse(spark, sf_dir)
+    jobs.vod_plays(spark, store, inputs.event_log(spark, sf_dir))
+    return store.scan("vod_plays_rejected").select(
+        "reason", "realm", "session_id", "customer_id", "ts",
+        F.get_json_object("event", "$.payload.progress").cast("bigint").alias("progress"),
+    )
+
+
+@query
+def job_run_counts(spark, sf_dir):
+    store = _warehouse(spark, sf_dir)
+    for job in (jobs.logins, jobs.vod_plays, jobs.event_times):
+        job(spark, store, inputs.event_log(spark, sf_dir), run_id="a-day")
+    return store.scan("job_run").select("job", "wanted", "known", "missed", "invalid")
+
+
+@query
+def vod_plays_rerun(spark, sf_dir):
+    """A job that runs twice with one run id."""
+    store = _warehouse(spark, sf_dir)
+    for _ in range(2):
+        jobs.vod_plays(spark, store, inputs.event_log(spark, sf_dir), run_id="a-day")
+    return store.scan("vod_play").select(*play_ops.VOD_PLAY_COLUMNS)
+
+
+@query
+def vod_plays_by_date(spark, sf_dir):
+    """Two runs merged into a table stored by date, of which the second one rewrites its own days only."""
+    store = _warehouse(spark, sf_dir)
+    for events in _halves(inputs.event_log(spark, sf_dir)):
+        jobs.vod_plays(spark, store, events, keep="dates")
+    return store.scan("vod_play").select(*play_ops.VOD_PLAY_COLUMNS)
+
+
+@query
+def plays_append_after_latest(spark, sf_dir):
+    """A table that one run rewrites and the next one adds to."""
+    store = _warehouse(spark, sf_dir)
+    earlier, later = _halves(inputs.event_log(spark, sf_dir))
+    jobs.vod_plays(spark, store, earlier, keep="latest")
+    jobs.vod_plays(spark, store, later)
+    return store.scan("vod_play").select(*play_ops.VOD_PLAY_COLUMNS)
+
+
+@query
+def revenue_of_range(spark, sf_dir):
+    """Revenue of two weeks, from payments stored by date: the other dates' folders are not read."""
+    store = _warehouse(spark, sf_dir)
+    jobs.purchases(spark, store, inputs.purchase_log(spark, sf_dir))
+    store.append(inputs.rates(spark, sf_dir), "exchange_rate")
+    jobs.revenue_rollup(spark, store, "day", "2024-01-05 00:00:00", "2024-01-20 00:00:00")
+    return store.scan("revenue_daily")
+
+
 # --- scalar functions ----------------------------------------------------------------------
 
 @query
@@ -591,36 +676,59 @@ def stream_batch_counts(spark, sf_dir):
     return store.scan("counts").agg(F.sum("n").alias("records"))
 
 
-def _viewings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+@query
+def stream_batch_counts_each(spark, sf_dir):
+    """Records of two micro-batches: every other message arrives before the first run of the stream, the rest after it."""
+    records, path = inputs.message_records(spark, sf_dir), work_dir(spark, "arrivals")
+    store, state = tables.FolderStore(spark, work_dir(spark, "each-tables")), work_dir(spark, "each-checkpoint")
+    for part in range(2):
+        arrived = records.where(F.floor(F.col("event_id") / 20) % 2 == part)
+        inputs.packed(arrived, 20, "[", ",", "]").select("value").write.mode("append").text(path)
+        stream = messages.decode_messages(streams.read_text_stream(spark, path))
+        fanout.run_to_end([fanout.start_batch_counts(stream, store, "counts", state, NOW)])
+    return store.scan("counts").select("batch_id", "n")
+
+
+def _viewings(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = inputs.message_records(spark, sf_dir)
     named = messages.with_experiment(
         messages.decode_messages(records.select(F.col("record").alias("value"))), inputs.experiment_names(spark, sf_dir)
     )
-    rows = messages.viewing_rows(named, inputs.sent_at()).drop("record")
-    return _halves_of(rows)
+    return messages.viewing_rows(named, inputs.sent_at()).drop("record")
 
 
-def _halves_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return rows.where(F.hour("event_datetime") < 12), rows.where(F.hour("event_datetime") >= 12)
+def _by_hours(rows: DataFrame, hours: int) -> list[DataFrame]:
+    """The rows of each so many hours of the day."""
+    part = F.floor(F.hour("event_datetime") / hours)
+    return [rows.where(part == i) for i in range(24 // hours)]
 
 
 @query
 def cumulative_watch_time(spark, sf_dir):
     """Two batches appended to a log of totals; the second reads the totals of the first."""
     store = tables.FolderStore(spark, work_dir(spark, "totals"))
-    for batch_id, rows in enumerate(_viewings(spark, sf_dir)):
+    for batch_id, rows in enumerate(_by_hours(_viewings(spark, sf_dir), 12)):
         fanout.append_totals(rows, store, "viewing", batch_id, messages.VIEWING_KEYS)
     return store.scan("viewing")
 
 
+@query
+def cumulative_watch_time_folded(spark, sf_dir):
+    """Six batches appended to a log whose totals are folded into a snapshot after every second one."""
+    store = tables.FolderStore(spark, work_dir(spark, "folded"))
+    for batch_id, rows in enumerate(_by_hours(tables.staged(_viewings(spark, sf_dir), "viewings"), 4)):
+        fanout.append_totals(rows, store, "viewing", batch_id, messages.VIEWING_KEYS, fold_every=2)
+    return store.scan("viewing")
+
+
 @query
 def cumulative_overwrite(spark, sf_dir):
     """Two batches summed into a table that is rewritten, and the second one once more."""
     store = tables.FolderStore(spark, work_dir(spark, "rewrite"))
-    first, second = _viewings(spark, sf_dir)
+    first, second = _by_hours(_viewings(spark, sf_dir), 12)
     for batch_id, rows in ((0, first), (1, second), (1, second)):
         fanout.rewrite_totals(rows, store, "viewing", batch_id)
-    return store.scan("viewing").drop("last_batch")
+    return store.scan("viewing")
 
 
 @query
@@ -632,4 +740,4 @@ def stream_rewrite(spark, sf_dir):
         inputs.text_stream(spark, source), inputs.experiment_names(spark, sf_dir), store, "video_play",
         work_dir(spark, "rewrite-checkpoint"), NOW, inputs.sent_at(),
     )])
-    return store.scan("video_play").drop("last_batch")
+    return store.scan("video_play")

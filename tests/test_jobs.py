@@ -113,3 +113,121 @@ def test_jobs_take_a_frame_parsed_once(spark, store, tmp_path):
     plan = plays.vod_plays(events, store.scan("realm")).result._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<country:string,customerId:string,payload:struct<action:tinyint,cid:string,data:struct<star" in plan
     assert "EqualTo(payload.action,2)" in plan
+
+
+def rejected(store, job):
+    return sorted((r.reason, r.realm) for r in store.scan(f"{job}_rejected").collect())
+
+
+def test_jobs_write_audit_rows_and_counts(spark, store, tmp_path):
+    first = THREE[0]
+    unknown, nameless = {**first, "realm": "nowhere"}, change(first)
+    nameless["payload"]["cid"] = ""
+    lost = {**nameless, "realm": "nowhere"}
+    path = write(tmp_path, [*THREE, unknown, nameless, lost, change(first, 6), change(unknown, 6)])
+    counts = jobs.vod_plays(spark, store, path).counts
+    assert (counts.total, counts.wanted, counts.known, counts.missed, counts.invalid) == (8, 6, 3, 1, 2)
+    assert rejected(store, "vod_plays") == [("invalid", first["realm"]), ("invalid", "nowhere"), ("missed", "nowhere")]
+    row = store.scan("vod_plays_rejected").where("reason = 'missed'").first()
+    assert json.loads(row.event)["payload"]["cid"] == row.session_id == first["payload"]["cid"]
+    assert jobs.logins(spark, store, path).counts.missed == 1 and rejected(store, "logins") == [("missed", "nowhere")]
+    events = read_packed_json(spark, path)
+    assert jobs.session_durations(spark, store, events).counts.total is None
+    runs = {r.job: (r.total, r.wanted, r.known, r.missed, r.invalid) for r in store.scan("job_run").collect()}
+    assert runs == {"vod_plays": (8, 6, 3, 1, 2), "logins": (8, 2, 1, 1, 0), "session_durations": (None, 6, 3, 1, 2)}
+    shown = jobs.vod_plays(spark, store, path, dry_run=True)
+    assert shown["vod_plays_rejected"].count() == 3 and store.scan("job_run").count() == 3
+
+
+def test_a_run_that_comes_again_replaces_its_rows(spark, store, tmp_path):
+    path = write(tmp_path, [*THREE, {**THREE[0], "realm": "nowhere"}])
+    for _ in range(2):
+        for job in (jobs.vod_plays, jobs.session_durations, jobs.event_times):
+            job(spark, store, path, run_id="007")
+    assert store.scan("vod_play").count() == 3 and store.scan("session_duration").count() == 3
+    assert store.scan("vod_plays_rejected").count() == 1 and store.scan("job_run").count() == 3
+    assert {r.run_id for r in store.scan("vod_play").collect()} == {"007"}
+    jobs.vod_plays(spark, store, path, run_id="2018-06-12")  # a later run merges what the first one stored
+    assert {r.run_id: r["count"] for r in store.scan("vod_play").groupBy("run_id").count().collect()} == {"007": 3, "2018-06-12": 3}
+    jobs.vod_plays(spark, store, path)  # without an id the rows are added
+    assert store.scan("vod_play").count() == 9 and store.scan("vod_play").where("run_id is null").count() == 3
+
+
+def test_a_job_parses_its_log_once(spark, store, tmp_path):
+    """Each file of the log is opened by one scan only: a log that is gone after the staging pass is not missed."""
+    log = write(tmp_path, [*THREE, change(THREE[0], 6)])
+    parsed = []
+    real = jobs.read_packed_json
+
+    def counted(*args):
+        df = real(*args)
+        spy = df.rdd.context.accumulator(0)
+        parsed.append(spy)
+
+        def look(batches):
+            for batch in batches:
+                spy.add(len(batch))
+                yield batch
+
+        return df.mapInPandas(look, df.schema)
+
+    jobs.read_packed_json = counted
+    try:
+        for job in (jobs.logins, jobs.signups, jobs.vod_plays, jobs.live_plays, jobs.event_times):
+            job(spark, store, log)
+        jobs.date_buckets(spark, store, log, str(tmp_path / "buckets"))["per_date"].collect()
+    finally:
+        jobs.read_packed_json = real
+    assert [spy.value for spy in parsed] == [4] * 6
+
+
+def test_plays_by_date_touch_only_their_days(spark, store, tmp_path):
+    day = 24 * 3600 * 1000
+    other = change(THREE[0], startedAt=str(int(THREE[0]["payload"]["data"]["startedAt"]) + 5 * day))
+    undated = change(THREE[0], startedAt="n/a")
+    jobs.vod_plays(spark, store, write(tmp_path, [*THREE, other, undated]), keep="dates")
+    stored = lambda: {str(f): f.parent.name for f in (tmp_path / "warehouse" / "vod_play").rglob("*.parquet")}
+    files = stored()
+    assert set(files.values()) == {"date=1970-01-01", "date=2018-06-10", "date=2018-06-11", "date=2018-06-15"}
+    longer = change(other)
+    longer["payload"]["progress"] = 10_000_000
+    jobs.vod_plays(spark, store, write(tmp_path, [longer]), keep="dates")
+    changed = {files[n] for n in files.keys() - stored().keys()}
+    assert len(changed) == 1 and "date=1970-01-01" not in changed
+    rows = store.scan("vod_play")
+    assert rows.count() == 5 and rows.where("duration = 10000000").count() == 1
+    jobs.vod_plays(spark, store, write(tmp_path, [*THREE, undated]), keep="dates")
+    assert store.scan("vod_play").count() == 5
+    jobs.vod_plays(spark, store, write(tmp_path, THREE), keep="append", run_id="a")
+    with pytest.raises(ValueError):
+        jobs.vod_plays(spark, store, write(tmp_path, THREE), keep="dates")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_rollup_and_the_play_merge_prune_by_date(spark, store, tmp_path, monkeypatch):
+    bought = [change(THREE[0], -1, "SUCCESSFUL_PURCHASE", PAYMENT_PROVIDER="STRIPE", PRICE_WITH_TAX_AMOUNT=115, PRICE_WITH_TAX_CURRENCY="GBP")]
+    bought.append({**bought[0], "ts": "2018-06-20 10:00:00"})
+    jobs.purchases(spark, store, read_packed_json(spark, write(tmp_path, bought)))
+    assert {d.name for d in (tmp_path / "warehouse" / "payment").glob("date=*")} == {"date=2018-06-11", "date=2018-06-20"}
+    (tmp_path / "rates.csv").write_text("Date, USD, GBP\n11 June 2018, 1.30, 1.15\n")
+    jobs.exchange_rates(spark, store, str(tmp_path / "rates.csv"), zipped=False)
+    rolled = jobs.revenue_rollup(spark, store, "day", "2018-06-11 00:00:00", "2018-06-12 00:00:00", dry_run=True)["revenue_daily"]
+    assert [r.amount for r in rolled.collect()] == [115]
+    part = plan_of(rolled).split("PartitionFilters: [")[1].split("]")[0]
+    assert ">= 2018-06-11" in part and "<= 2018-06-12" in part
+    jobs.vod_plays(spark, store, write(tmp_path, THREE), keep="dates")
+    plans = []
+    real = FolderStore.replace_dates
+    monkeypatch.setattr(FolderStore, "replace_dates", lambda self, df, table: (plans.append(plan_of(df)), real(self, df, table)))
+    jobs.vod_plays(spark, store, write(tmp_path, THREE), keep="dates")
+    assert "PartitionFilters: [isnotnull(date" in plans[0] and "dynamicpruning" in plans[0]
+
+
+def test_empty_facts_have_their_columns(spark, store, tmp_path):
+    jobs.live_plays(spark, store, write(tmp_path, THREE))
+    assert store.scan("live_play").count() == 0 and "duration" in store.scan("live_play").columns
+    jobs.live_plays(spark, store, write(tmp_path, [change(THREE[0], 3)]))
+    assert store.scan("live_play").count() == 1

@@ -90,6 +90,11 @@ def test_stores(spark, tmp_path, kind):
     store.write_batch(rows(spark, 6, 7), "b", 1)
     store.write_batch(rows(spark, 6, 8), "b", 1)
     assert values(store.scan("b")) == [5, 6, 8]
+    store.append(rows(spark, 5), "runs", "a day")
+    for _ in range(2):
+        store.append(rows(spark, 6, 8), "runs", "it's \\ 007")
+    assert values(store.scan("runs")) == [5, 6, 8]
+    assert {r.run_id for r in store.scan("runs").collect()} == {"a day", "it's \\ 007"}
     store.replace(rows(spark, 1, 2), "r")
     store.replace(store.scan("r").select((F.col("n") * 10).alias("n")), "r")
     assert values(store.scan("r")) == [10, 20]
@@ -126,3 +131,21 @@ def test_rows_appended_after_a_replace_are_kept(spark, tmp_path):
     store.replace(store.scan("t"), "t")
     store.append(three, "t")
     assert store.scan("t").count() == 6
+
+
+def test_rows_of_all_kinds_are_found_after_a_replace(spark, tmp_path):
+    store = FolderStore(spark, str(tmp_path / "kinds"))
+    rows = lambda n: spark.range(n).withColumnRenamed("id", "n")
+    store.write_batch(rows(3), "t", 0)
+    store.replace(rows(3), "t")
+    store.write_batch(rows(5), "t", 1)
+    store.append(rows(2), "t")
+    store.append(rows(4), "t", "0012")
+    store.append(rows(7), "t", "0012")
+    store.write_batch(rows(6), "t", 1)
+    found = store.scan("t")
+    assert found.count() == 3 + 6 + 2 + 7 and found.columns[0] == "n"
+    assert {(r.batch_id, r.run_id): r["count"] for r in found.groupBy("batch_id", "run_id").count().collect()} == {
+        (None, None): 5, (1, None): 6, (None, "0012"): 7}
+    store.replace(rows(1), "t")
+    assert store.scan("t").count() == 1

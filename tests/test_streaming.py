@@ -113,6 +113,70 @@ def test_totals_ignore_a_batch_that_comes_again(spark, tmp_path):
     assert {(r.content_id, r.duration) for r in store.scan("table").collect()} == expected
 
 
+def rows_read(spark, df):
+    """Rows that the files a frame reads from hold."""
+    return spark.read.parquet(*df.inputFiles()).count()
+
+
+def test_a_batch_reads_no_more_of_a_longer_log(spark, tmp_path):
+    store, read, at = FolderStore(spark, str(tmp_path)), [], None
+    for n in range(13):
+        before = fanout._totals_before(store, "log", n, messages.VIEWING_KEYS, 3)
+        read.append(0 if before is None else rows_read(spark, before))
+        fanout.append_totals(viewing(spark, *[(f"u{k}", "x", "", "", 1, at) for k in range(10)]), store, "log", n, messages.VIEWING_KEYS, fold_every=3)
+    assert read[0] == 0 and max(read) <= 10 * 3 and read[12] <= read[3]
+    last = store.scan("log").where("batch_id = 12")
+    assert last.count() == 10 and {r.duration for r in last.collect()} == {13}
+    fanout.append_totals(viewing(spark, ("u1", "x", "", "", 5, at)), store, "log", 12, messages.VIEWING_KEYS, fold_every=3)  # again
+    assert [r.duration for r in store.scan("log").where("batch_id = 12").collect()] == [17]
+    # A batch from before the last fold, which a restart from an old checkpoint could bring.
+    fanout.append_totals(viewing(spark, ("u1", "x", "", "", 5, at)), store, "log", 2, messages.VIEWING_KEYS, fold_every=3)
+    assert [r.duration for r in store.scan("log").where("batch_id = 2").collect()] == [7]
+
+
+def test_a_rewrite_keeps_the_files_of_other_buckets(spark, tmp_path):
+    store, at = FolderStore(spark, str(tmp_path)), None
+    files = lambda: {str(f): f.parts[-3] for f in (tmp_path / "t").rglob("*.parquet")}
+    many = viewing(spark, *[(f"u{k}", "x", "", "", 1, at) for k in range(200)])
+    assert fanout.rewrite_totals(many, store, "t", 0, buckets=8)
+    first = files()
+    assert len(set(first.values())) == 8
+    one = viewing(spark, ("u7", "x", "", "", 4, at))
+    assert fanout.rewrite_totals(one, store, "t", 1, buckets=8) and not fanout.rewrite_totals(one, store, "t", 1, buckets=8)
+    assert first.items() <= files().items() and len({b for n, b in files().items() if n not in first}) == 1
+    found = {r.user_id: r.duration for r in store.scan("t").collect()}
+    assert len(found) == 200 and found["u7"] == 5 and sum(found.values()) == 204
+    for n in (2, 3):
+        fanout.rewrite_totals(one, store, "t", n, buckets=8)
+    assert {r.user_id: r.duration for r in store.scan("t").collect()}["u7"] == 13
+    touched = {b for n, b in files().items() if n not in first}
+    versions = {f.parts[-2] for f in (tmp_path / "t").rglob("*.parquet") if f.parts[-3] in touched}
+    assert versions == {"version=2", "version=3"}  # what the last reader may still see, and the latest
+
+
+def test_a_rewrite_that_failed_comes_again(spark, tmp_path, monkeypatch):
+    store, at = FolderStore(spark, str(tmp_path)), None
+    fanout.rewrite_totals(viewing(spark, ("u", "x", "", "", 1, at)), store, "t", 0)
+    second = viewing(spark, ("u", "x", "", "", 2, at), ("w", "x", "", "", 3, at))
+    with monkeypatch.context() as broken:
+        broken.setattr(FolderStore, "_name_version", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            fanout.rewrite_totals(second, store, "t", 1)
+    assert {(r.user_id, r.duration) for r in store.scan("t").collect()} == {("u", 1)}  # as before
+    fanout.rewrite_totals(second, store, "t", 1)
+    assert {(r.user_id, r.duration) for r in store.scan("t").collect()} == {("u", 3), ("w", 3)}
+
+
+def test_heartbeats_are_found_without_parsing_other_records(spark, names):
+    escaped = json.dumps(BEAT).replace("VIDEO_HB", "VIDEO\\u005fHB")
+    lines = frame(spark, [REGISTER, BEAT, BUY], BEAT, BUY, f"[{escaped}]", "VIDEO_HB rubbish", "[1")
+    found = messages.decode_heartbeats(lines)
+    assert found.where("readable").where("message_type = 'VIDEO_HB'").count() == 3
+    assert found.count() == 4  # and the rubbish that has the mark; nothing else was parsed
+    both = [fanout.watch_totals(messages.with_experiment(d(lines), names), arrival()) for d in (messages.decode_messages, messages.decode_heartbeats)]
+    assert both[0].collect() == both[1].collect() and both[0].first().duration == 30
+
+
 def test_word_count_and_routes(spark):
     lines = spark.createDataFrame([("a=1&b=2&a=1",), ("",)], "value string")
     assert {r.word: r["count"] for r in text.word_count(lines, "&").collect()} == {"a=1": 2, "b=2": 1, "": 1}
