@@ -27,9 +27,15 @@ WEIGHTS = Path(__file__).with_name("block_weights.npz")
 #: Blocks of pages that are labelled in one pass; a page with more is a pass of its own.
 PASS_BLOCKS = 20_000
 
-#: What these hold is never text of a page.
-SKIPPED = frozenset(
-    "script style noscript template title textarea select button svg math iframe object canvas audio video".split())
+#: Elements whose contents are no markup: they run to their end tag, or to the end of the page.
+RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
+#: Elements whose contents are no text of a page as long as they are open. One that is not closed ends with the block
+#: it stands in. What ``math``, ``noscript`` and ``object`` hold is for the labeller to judge.
+SKIPPED = frozenset("template select button svg canvas audio video".split())
+#: Of these one may stand in another.
+NESTED = frozenset(["svg", "template"])
+#: What begins a part of the page of its own.
+SECTIONS = frozenset("article aside blockquote body dl footer form h1 h2 h3 h4 h5 h6 header main nav ol p pre section table ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
@@ -66,21 +72,58 @@ def _tokens(attributes: str) -> tuple[str, ...]:
     return tuple(sorted({t for m in _NAMES.finditer(attributes) for t in _TOKEN.findall((m[2] or m[3] or m[4] or "").lower())}))
 
 
+@lru_cache(maxsize=64)
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I)
+
+
+def _after(page: str, at: int, tag: str, around: list[str], closed: bool) -> int:
+    """Where a skipped element that began before ``at`` ends: after its end tag.
+
+    One whose end tag does not come before that of an element around it, or before the next element of its kind, was not
+    closed: it ends where the first section, paragraph, list or table after it begins, or else where it should have.
+    ``closed``: does the page have an end tag of this kind further on?
+    """
+    depth, inside, first = 1, [], None
+    for m in _MARKUP.finditer(page, at):
+        closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        if not name:
+            continue
+        name = name.lower()
+        if name == tag and (closing or tag in NESTED):
+            depth += -1 if closing else not attributes.endswith("/")
+            if not depth:
+                return m.end()
+        elif name == tag or closing and name in around and name not in inside:
+            return m.start() if first is None else first
+        else:
+            if first is None and not closing and name in SECTIONS:
+                first = m.start()
+                if not closed:
+                    return first
+            if not closing and name not in VOID and not attributes.endswith("/"):
+                inside.append(name)
+            elif closing and name in inside:
+                inside.remove(name)
+    return at if first is None else first
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page that have text, in page order, with references decoded and white space made single.
 
     A block ends where an element begins or ends that is not inline. A paragraph ends where another block begins,
-    closed or not. Comments, declarations and the contents of ``SKIPPED`` elements are no text.
+    closed or not. Comments, declarations and the contents of ``RAW`` and ``SKIPPED`` elements are no text.
     """
     found: list[Block] = []
     zero = np.zeros(PATH_DIMS, np.float32)
     stack: list[tuple[str, np.ndarray, np.ndarray]] = [("", zero, zero)]  # tag, tokens of the path, own tokens
     open_tags: dict[str, int] = {}
     parts: list[tuple[str, bool]] = []
+    last: dict[str, int] = {}  # where the last end tag of a skipped element is
 
     def flush() -> None:
         if parts:
-            text = " ".join(entities.unescape("".join(p for p, _ in parts)).split())
+            text = " ".join("".join(p for p, _ in parts).split())
             if text:
                 linked = sum(len(p) for p, in_link in parts if in_link)
                 block = next(s for s in reversed(stack) if s[0] not in INLINE)
@@ -90,24 +133,33 @@ def blocks(page: str) -> list[Block]:
     def pop() -> None:
         open_tags[stack.pop()[0]] -= 1
 
+    def add(raw: str) -> None:
+        parts.append((entities.unescape(raw), open_tags.get("a", 0) > 0))
+
     at, end = 0, len(page)
     while at < end:
         m = _MARKUP.search(page, at)
         if m is None:
-            parts.append((page[at:], open_tags.get("a", 0) > 0))
+            add(page[at:])
             break
         if m.start() > at:
-            parts.append((page[at : m.start()], open_tags.get("a", 0) > 0))
+            add(page[at : m.start()])
         at = m.end()
         closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
             continue
         tag = tag.lower()
-        if tag in SKIPPED:
-            if not closing and not attributes.endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+        if tag in RAW:
+            if not closing:
+                close = _end_of(tag).search(page, at)
                 at = close.end() if close else end
             parts.append((" ", False))
+        elif tag in SKIPPED:
+            if not closing and not attributes.endswith("/"):
+                if tag not in last:
+                    last[tag] = max((m.start() for m in _end_of(tag).finditer(page)), default=-1)
+                at = _after(page, at, tag, [t for t, _, _ in stack if t], last[tag] >= at)
+            parts.append((" ", False))
         elif tag in VOID:
             if tag == "hr":
                 flush()
