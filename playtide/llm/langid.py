@@ -16,20 +16,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from playtide.llm.common import as_bytes, give_back, slices
 
 ORDER = 3
-#: Bounds of the training sample: documents and bytes of text for each language, and languages.
-SAMPLE_DOCUMENTS, SAMPLE_BYTES, LANGUAGES = 300, 400_000, 64
+#: Bounds of the training sample: documents and bytes of text for each language, bytes of one document, and languages.
+SAMPLE_DOCUMENTS, SAMPLE_BYTES, PIECE_BYTES, LANGUAGES = 300, 400_000, 20_000, 64
 UNDETERMINED = "und"
 #: Codes of over this many bits a byte under every language are like none of them: noise, not prose.
 MOST_BITS = 7.0
 
 _LETTER = regex.compile(r"\p{L}")
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK = 1 << 19
+#: Numbers, of bytes times languages, that are held at once.
+_CHUNK = 1 << 21
 
 
 class _Table:
@@ -99,6 +100,8 @@ def _padded(text: bytes) -> np.ndarray:
 def fit(samples: dict[str, list[bytes]]) -> Model:
     """Count the contexts of each language's texts; texts follow ``ORDER`` blanks, so that they start alike."""
     languages = sorted(samples)
+    if not languages:
+        return Model([], ORDER, [], [])
     counted: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
     for n, language in enumerate(languages):
         for k in range(ORDER + 1):
@@ -160,12 +163,14 @@ class Scorer:
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each whole text under each language."""
         total = np.zeros((len(texts), len(self.model.languages)))
-        pad = b" " * ORDER
+        if not self.model.languages:
+            return total
+        pad, step = b" " * ORDER, max(1 << 12, _CHUNK // len(self.model.languages))
         data = np.frombuffer(b"".join(x for t in texts for x in (pad, t)), np.uint8)
         ends = np.cumsum([ORDER + len(t) for t in texts])
         owner_starts = np.r_[0, ends[:-1]]
-        for at in range(0, max(len(data) - ORDER, 0), _CHUNK):
-            piece = data[at : at + _CHUNK + ORDER]
+        for at in range(0, max(len(data) - ORDER, 0), step):
+            piece = data[at : at + step + ORDER]
             if len(piece) <= ORDER:
                 break
             bits = self._bits(piece)
@@ -185,7 +190,7 @@ class Scorer:
         lengths = self.code_lengths(texts)
         out = []
         for text, bits in zip(texts, lengths, strict=True):
-            if not text or not _LETTER.search(text.decode("utf-8", "replace")):
+            if not len(bits) or not text or not _LETTER.search(text.decode("utf-8", "replace")):
                 out.append((UNDETERMINED, 0.0, 0.0))
                 continue
             best = int(bits.argmin())
@@ -200,28 +205,38 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(True))
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model:
+def train(
+    labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", documents: int = SAMPLE_DOCUMENTS,
+    sample_bytes: int = SAMPLE_BYTES, languages: int = LANGUAGES,
+) -> Model:
     """A model from the rows that are not held out and have a language.
 
-    For each language the ``SAMPLE_DOCUMENTS`` rows of the smallest hash of their id are taken, of texts up to
-    ``SAMPLE_BYTES`` bytes together. Each language's sample is a top-k that tasks cut down before anything moves.
+    For each language the rows of the smallest hash of their id and text are taken: at most ``documents`` of them, of
+    each text its first ``PIECE_BYTES`` bytes, as long as they have ``sample_bytes`` together. The ``languages`` with the
+    most rows are learnt; labels beyond them are never predicted. A table without labels gives a model without
+    languages, under which every text is undetermined.
+
+    The rows are read twice: once for the counts, and once for all languages together, when a limit of the hash that
+    follows from the counts leaves about twice the rows wanted. So tasks send few rows, and the driver gets at
+    most the sample.
     """
-    rows = labelled.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & (F.length(F.trim(text)) > 0))
-    names = [r[0] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES).collect()]
-    if not names:
-        raise ValueError("no labelled rows to learn a language from")
-    samples: dict[str, list[bytes]] = {}
-    small = rows.where(F.octet_length(text) <= SAMPLE_BYTES // 20).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id)).alias("rank"))
-    for name in names:
-        picked = small.where(F.col("lang") == name).orderBy("rank", "text").limit(SAMPLE_DOCUMENTS)
-        taken, size = [], 0
-        for row in picked.collect():
-            raw = row["text"].encode()
-            if size + len(raw) <= SAMPLE_BYTES:
-                taken.append(raw)
-                size += len(raw)
-        if taken:
-            samples[name] = taken
+    spark = labelled.sparkSession
+    rows = labelled.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & (F.length(F.trim(text)) > 0)).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("long"), text).alias("rank"))
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    if not counts:
+        return fit({})
+    span, least = float(1 << 64), -(1 << 63)
+    # Of few rows all pass; of many, 2 * documents + 100 on average, so that too few is all but impossible.
+    limits = [(r["lang"], int(min((1 << 63) - 1, least + span * min(1.0, (2 * documents + 100) / r["count"])))) for r in counts]
+    limited = spark.createDataFrame(limits, "lang string, most bigint")
+    by_rank = Window.partitionBy("lang").orderBy("rank", "text")
+    found = rows.join(F.broadcast(limited), "lang").where("rank <= most").select("lang", F.left("text", F.lit(PIECE_BYTES)).alias("text"), "rank")
+    picked = found.withColumn("place", F.row_number().over(by_rank)).where(F.col("place") <= documents)
+    size = F.sum(F.least(F.octet_length("text"), F.lit(PIECE_BYTES))).over(by_rank.rowsBetween(Window.unboundedPreceding, 0))
+    samples: dict[str, list[bytes]] = {r["lang"]: [] for r in counts}
+    for row in picked.withColumn("size", size).where(F.col("size") <= sample_bytes).select("lang", "text").collect():
+        samples[row["lang"]].append(row["text"].encode()[:PIECE_BYTES])
     return fit(samples)
 
 
@@ -231,7 +246,8 @@ RESULT = "struct<lang_pred:string,score:double,bits_per_byte:double>"
 def identify(text: Column, model: Model) -> Column:
     """The language, score and bits a byte of each whole text, as a struct.
 
-    A null, an empty text and one without a letter are ``und`` with score 0. Equal texts give equal results; other
+    A null, an empty text and one without a letter are ``und`` with score 0, and so is any text under a model that has
+    learnt no language. Equal texts give equal results; other
     columns, the language among them, play no part. The model's statistics go along with the task: their size is
     bounded by the training sample.
     """
