@@ -15,11 +15,16 @@ from playtide.llm.queries import WORD_BPE, on_workers
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a language that the model knows; undetermined text and noise go.
 
-    The model is learnt from a bounded sample of the stage's own labelled rows.
+    The model is learnt from a bounded sample of the stage's own labelled rows. A document without a language gets the
+    one found; labels that are there stay. Without any label there is nothing to judge by, and all documents stay.
     """
     on_workers(spark)
-    found = langid.identify(F.col("text"), langid.train(docs))
-    return docs.withColumn("__found", found).where(~langid.rejected(F.col("__found"))).drop("__found")
+    model = langid.train(docs)
+    if not model.languages:
+        return docs
+    found = docs.withColumn("__found", langid.identify(F.col("text"), model)).where(~langid.rejected(F.col("__found")))
+    named = found.withColumn("lang", F.coalesce("lang", "__found.lang_pred")) if "lang" in docs.columns else found
+    return named.drop("__found")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
