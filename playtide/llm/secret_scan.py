@@ -36,26 +36,38 @@ class CharClass:
 
 
 #: A window of 24 hex digits has 4 bits at most, random ones about 3.4; one of 20 base-64 characters log2(20) = 4.3
-#: at most, random ones about 4.0, and words written together about 3.2.
+#: at most, random ones about 4.0, and words written together about 3.2. Windows of 24 digits and letters of one case
+#: have log2(24) = 4.6 at most, random ones about 4.2, and names with a number in them about 3.6.
 CLASSES = (
     CharClass("0-9a-fA-F", 24, 3.0, ("0-9", "a-fA-F")),
     CharClass("A-Za-z0-9", 20, 3.6, ("0-9", "a-z", "A-Z")),
     CharClass("A-Za-z0-9+/_=-", 24, 3.8, ("0-9", "a-z", "A-Z")),
+    CharClass("a-z0-9", 24, 3.95, ("0-9", "a-z")),
+    CharClass("A-Z0-9", 24, 3.95, ("0-9", "A-Z")),
 )
 
-#: Runs that look random and are not secret: UUIDs, alphabets and digit rows, paths and hyphenated or snake-case
-#: words, example keys of documentation.
+#: Whole runs that look random and are not secret: UUIDs, paths and hyphenated or snake-case words.
 ALLOWED = (
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r".*(?:abcdefghij|ABCDEFGHIJ|0123456789).*",
     r"/?(?:[A-Za-z]+|[0-9]{1,4})(?:[/_-](?:[A-Za-z]+|[0-9]{1,4}))+/?",
-    r".*EXAMPLE.*",
 )
 
+_ROWS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
+#: What no secret holds: eight characters on of an alphabet or of the digits, and the mark of documentation. A window
+#: around one is not reported; the rest of its run may be.
+ALLOWED_INSIDE = (*(row[k : k + 8] for row in _ROWS for k in range(len(row) - 7)), "EXAMPLE")
 
-def entropy_windows(run: str, window: int, bits: float, needs: tuple[frozenset, ...] = ()) -> list[tuple[int, int]]:
+#: Published example keys.
+ALLOWED_TEXTS = frozenset(["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"])
+
+
+def entropy_windows(
+    run: str, window: int, bits: float, needs: tuple[frozenset, ...] = (), allowed: list[tuple[int, int]] | None = None,
+) -> list[tuple[int, int]]:
     """Maximal stretches of ``run`` that are covered by windows of at least ``bits`` a character.
 
+    ``allowed``: stretches, in order of their starts, that clear each window they lie in.
+
     Shannon entropy of a window of w characters is log2(w) - sum(c * log2(c)) / w over the counts c. Moving on by
     one character changes two counts, so the sum is carried along; it is kept in whole multiples of 2**-40 so that
     nothing accumulates.
@@ -67,6 +79,11 @@ def entropy_windows(run: str, window: int, bits: float, needs: tuple[frozenset,
     counts: dict[str, int] = {}
     total, have = 0, [0] * len(needs)
     spans: list[tuple[int, int]] = []
+    # For each start the first end of an allowed stretch that begins there or later.
+    clear, first = [len(run) + 1] * (len(run) + 1) if allowed else None, len(run) + 1
+    ends = dict(sorted(allowed or [], reverse=True))
+    for i in range(len(run), -1, -1) if clear else ():
+        first = clear[i] = min(first, ends.get(i, first))
     for i, c in enumerate(run):
         n = counts.get(c, 0)
         total += term[n + 1] - term[n]
@@ -82,6 +99,8 @@ def entropy_windows(run: str, window: int, bits: float, needs: tuple[frozenset,
                 have[k] -= gone in chars
         if i >= window - 1 and total <= most and all(have):
             start = i + 1 - window
+            if clear and clear[start] <= i + 1:
+                continue
             if spans and start <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], i + 1)
             else:
@@ -93,7 +112,7 @@ class Scanner:
     """Spans of one text, in code points, by start and then kind in the order of ``KINDS``."""
 
     def __init__(self, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED,
-                 allowed_texts: frozenset[str] = frozenset()):
+                 allowed_inside: tuple[str, ...] = ALLOWED_INSIDE, allowed_texts: frozenset[str] = ALLOWED_TEXTS):
         def expand(chars: str) -> frozenset[str]:
             return frozenset(re.findall(f"[{chars}]", "".join(map(chr, range(128)))))
 
@@ -102,6 +121,8 @@ class Scanner:
             for c in classes
         ]
         self.allowed = re.compile("|".join(f"(?:{a})" for a in allowed)) if allowed else None
+        # A lookahead finds overlapping ones; of those that begin together the first named counts.
+        self.inside = re.compile("(?=(" + "|".join(map(re.escape, allowed_inside)) + "))") if allowed_inside else None
         self.allowed_texts = allowed_texts
 
     def base(self, text: str) -> list[tuple[int, int, int]]:
@@ -118,7 +139,8 @@ class Scanner:
             for m in pattern.finditer(text):
                 if m[0] in self.allowed_texts or self.allowed is not None and self.allowed.fullmatch(m[0]):
                     continue
-                windows += [(m.start() + a, m.start() + b) for a, b in entropy_windows(m[0], window, bits, needs)]
+                clear = [i.span(1) for i in self.inside.finditer(m[0])] if self.inside is not None else []
+                windows += [(m.start() + a, m.start() + b) for a, b in entropy_windows(m[0], window, bits, needs, clear)]
         merged: list[list[int]] = []
         for a, b in sorted(windows):
             if merged and a <= merged[-1][1]:
@@ -143,8 +165,8 @@ def secrets(text: Column, **rules) -> Column:
     """The spans of each text as an array of (kind, start, end), ends exclusive, in code points.
 
     A null or empty text has none. ``rules`` are those of :class:`Scanner`: character classes, allow-list patterns
-    that suppress a whole candidate run, and allow-listed strings. Allow-lists act on the entropy spans only; base
-    spans always stay. Equal texts give equal spans; other columns play no part.
+    of whole candidate runs, strings that clear the windows they lie in, and whole runs by their text. Allow-lists
+    act on the entropy spans only; base spans always stay. Equal texts give equal spans; other columns play no part.
     """
 
     @F.arrow_udf(SPANS)
