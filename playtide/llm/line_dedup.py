@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from playtide.llm.common import as_strings, slices
+from playtide.llm.ngram_join import staged
+from playtide.operators.skew import hot_counted, split_hot_join
 
 #: Units of fewer words or characters (after normalising) are never removed: they recur by chance.
 LEAST_WORDS, LEAST_CHARS = 6, 40
@@ -98,16 +100,20 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS, least_chars: int =
     Documents rank by doc_id, nulls last, then by the hash of their text; units rank by document and then by offset,
     and the first of each group stays. Null and blank texts have no units. Rows that are equal as a whole have equal
     units at equal offsets: they count as one document. Other columns are not read. A unit that a third of all
-    documents share comes to the grouping once from each task, and Spark splits its side of the join.
+    documents share comes to the grouping once from each task; how often it occurs is counted there, and the join
+    spreads one with more places than a task should get over several tasks.
 
     ``lines``: whole lines go too, and a line that goes is listed once for all of its sentences, which stand in its
     kept copy; without it only sentences go.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    found = rows.mapInArrow(_units(least_words, least_chars, lines), "doc_id long, text_hash long, digest binary, start int, end int, line int")
+    found = staged(rows.mapInArrow(
+        _units(least_words, least_chars, lines), "doc_id long, text_hash long, digest binary, start int, end int, line int"), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("blank"), "doc_id", "text_hash", "start")
-    first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last").select("digest", "first")
-    removed = found.join(first, "digest").where(rank != F.col("first")).select(
+    first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"), F.count("*").alias("places"))
+    first = staged(first.where("first <> last").select("digest", "first", "places"), "repeated-units")
+    hot = hot_counted(first, ["digest"], "places")
+    removed = split_hot_join(found, first, ["digest"], "inner", hot=hot).where(rank != F.col("first")).select(
         "doc_id", "text_hash", "line", "start", "end", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start"))
     return _outermost(removed) if lines else removed.drop("line")
 

@@ -96,45 +96,8 @@ def op2_chat_format(table) -> DataFrame:
     )
 
 
-@query("""
-    WITH pieces AS (
-      SELECT doc_id, hash(text) AS text_hash, p.piece, p.place
-      FROM documents, unnest(regexp_extract_all(text, '[^.!?\\n]+(?:[.!?]+[^.!?\\x20\\x09-\\x0D][^.!?\\n]*)*[.!?]*|[.!?\\n]+'))
-        WITH ORDINALITY AS p(piece, place)
-    ), placed AS (
-      SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id, text_hash ORDER BY place
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM pieces
-    ), words AS (
-      SELECT doc_id, pos + length(piece) - length(ltrim(piece, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS start,
-        trim(piece, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
-        regexp_extract_all(piece, '[^\\x20\\x09-\\x0D]+') AS w
-      FROM placed WHERE regexp_matches(piece, '[^.!?\\n]')
-    ), units AS (
-      SELECT doc_id, start, start + length(body) AS stop,
-        translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS normal
-      FROM words WHERE len(w) >= 6 AND length(array_to_string(w, ' ')) >= 40
-    ), ranked AS (
-      SELECT *, first_value(doc_id) OVER g AS kept, row_number() OVER g AS n
-      FROM units WINDOW g AS (PARTITION BY normal ORDER BY doc_id, start)
-    )
-    SELECT doc_id, count(*) AS n_removed, sum(stop - start)::BIGINT AS chars_removed,
-      string_agg(start::BIGINT || ':' || stop::BIGINT || ':' || kept, ',' ORDER BY start) AS removed
-    FROM ranked WHERE n > 1 GROUP BY doc_id
-""")
-def op3_substring_dedup(table) -> DataFrame:
-    """The documents that lose text: which sentences go, with their offsets and the document that keeps each."""
-    return _removed(line_dedup.repeated(table("documents"), lines=False))
-
-
-def _removed(units: DataFrame) -> DataFrame:
-    spans = F.col("removed")
-    size = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    named = F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"], s["kept_doc_id"]))
-    return line_dedup.by_document(units).select(
-        "doc_id", F.size(spans).cast("long").alias("n_removed"), size.alias("chars_removed"), F.array_join(named, ",").alias("removed"))
-
-
-@query("""
+#: Lines, and sentences of lines that stay, from so many words on.
+_REPEATED_SQL = """
     WITH lines AS (
       SELECT doc_id, p.line, coalesce(sum(length(p.line) + 1) OVER (PARTITION BY doc_id ORDER BY p.place
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
@@ -158,7 +121,7 @@ def _removed(units: DataFrame) -> DataFrame:
     ), units AS (
       SELECT doc_id, line_start, whole, start, start + length(body) AS stop,
         translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS normal
-      FROM words WHERE len(w) >= 6 AND length(array_to_string(w, ' ')) >= 40
+      FROM words WHERE len(w) >= LEAST AND length(array_to_string(w, ' ')) >= 40
     ), ranked AS (
       SELECT *, first_value(doc_id) OVER g AS kept, row_number() OVER g AS n
       FROM units WINDOW g AS (PARTITION BY normal ORDER BY doc_id, start)
@@ -168,9 +131,28 @@ def _removed(units: DataFrame) -> DataFrame:
     SELECT doc_id, count(*) AS n_removed, sum(stop - start)::BIGINT AS chars_removed,
       string_agg(start::BIGINT || ':' || stop::BIGINT || ':' || kept, ',' ORDER BY start) AS removed
     FROM gone WHERE whole OR NOT line_goes GROUP BY doc_id
-""".replace("WHITE", "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"))
+""".replace("WHITE", "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)")
+
+
+@query(_REPEATED_SQL.replace("LEAST", "15"))
+def op3_substring_dedup(table) -> DataFrame:
+    """The documents that lose text: which lines go, and which sentences of lines that stay, with their offsets and the
+    document that keeps each. Shorter lines than of 15 words are left to ``op3_whole_lines``: most are formulas, which a
+    clean document may hold."""
+    return _removed(line_dedup.repeated(table("documents"), least_words=15))
+
+
+def _removed(units: DataFrame) -> DataFrame:
+    spans = F.col("removed")
+    size = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    named = F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"], s["kept_doc_id"]))
+    return line_dedup.by_document(units).select(
+        "doc_id", F.size(spans).cast("long").alias("n_removed"), size.alias("chars_removed"), F.array_join(named, ",").alias("removed"))
+
+
+@query(_REPEATED_SQL.replace("LEAST", "6"))
 def op3_whole_lines(table) -> DataFrame:
-    """The same for whole lines, and for the sentences of lines that stay."""
+    """The same with all lines of six words or more."""
     return _removed(line_dedup.repeated(table("documents")))
 
 
