@@ -59,30 +59,45 @@ def as_strings(texts: pa.Array) -> list[str]:
 
 
 class WordMemo:
-    """What a function gives for words, kept for about ``limit`` words between batches.
+    """What a function gives for words, kept for about ``limit`` words, of 40 bytes on average, between batches.
 
-    ``compute`` takes a list of unseen words and returns one value for each. The bound only limits what is remembered:
-    when it is reached, words that were not met again since the last time are dropped and computed again if need be.
+    ``compute`` takes a list of unseen words and returns one value for each. The bounds only limit what is remembered:
+    when one is reached, words that were not met again since the last time are dropped and computed again if need be.
     """
 
     def __init__(self, compute: Callable[[list], Sequence], limit: int = 150_000):
-        self.compute, self.limit, self.known, self.met = compute, limit, {}, set()
+        self.compute, self.limit, self.most, self.size, self.known, self.met = compute, limit, 40 * limit, 0, {}, set()
 
     def learn(self, documents: Sequence[Sequence]) -> dict:
         """A mapping that has every word of these documents."""
         words = set().union(*documents)
         unseen = words.difference(self.known)
         self.met |= words.difference(unseen)
-        if len(self.known) + len(unseen) > self.limit:
-            kept = self.met if len(self.met) < self.limit // 2 else words.difference(unseen)
+        grown = sum(map(len, unseen))
+        if len(self.known) + len(unseen) > self.limit or self.size + grown > self.most:
+            few = len(self.met) < self.limit // 2 and sum(map(len, self.met)) < self.most // 2
+            kept = self.met if few else words.difference(unseen)
             self.known = {w: self.known[w] for w in kept}
-            self.met = set()
+            self.met, self.size = set(), sum(map(len, self.known))
         if unseen:
             unseen = list(unseen)
             self.known.update(zip(unseen, self.compute(unseen), strict=True))
+            self.size += grown
         return self.known
 
 
+def laid_out(source: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The pieces of ``source`` that begin at ``start`` and have ``size`` numbers, one after the other."""
+    before = np.cumsum(size) - size
+    return source[np.repeat(start - before, size) + np.arange(int(size.sum()))]
+
+
+def word_numbers(words: pa.Array) -> tuple[list, np.ndarray]:
+    """The different words of an array, and for each of its words the number of its kind."""
+    coded = words.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
+
+
 def byte_chars() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for 256 and what follows."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]

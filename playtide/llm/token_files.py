@@ -9,6 +9,7 @@ base: the ids in all parts before it.
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -16,18 +17,19 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from playtide.llm.common import WordMemo, as_bytes, byte_chars, kept_model, slices
+from playtide.llm.common import WordMemo, as_bytes, byte_chars, kept_model, laid_out, slices, word_numbers
 from playtide.session import work_dir
 
 END = 0
-MEMO = 400_000  # words, and pattern matches, that a worker remembers
-WRITE_BYTES = 2 << 20  # text that is encoded at once
+MEMO = 700_000  # words, and pattern matches, that a worker remembers
+WRITE_BYTES = 6 << 20  # text that is encoded at once
 #: Stands for a null document id in the files.
 NO_ID = -(1 << 63)
 
@@ -37,7 +39,6 @@ _RARE_ASCII = b"\t\v\f\r\x1c\x1d\x1e\x1f"
 _RARE = (b"  ", b" \n", b"\n ", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 #: Pieces of these characters are cut into the pattern's matches here, all others by the library.
 _PLAIN = regex.compile(r"[\x20-\x7e\n\u00c0-\u024f]*")
-_MATCHES = 2000  # pattern matches in a call of the library
 
 
 class ByteBpe:
@@ -52,12 +53,12 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.merger = Tokenizer(self.library.model)  # the same rules for matches that are cut already
+        self.merger = self.library.model  # the same rules for matches that are cut already
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.bytes_as_chars = {ord(bytes([b]).decode("latin-1")): c for b, c in byte_chars().items()}
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
+        self.kind, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
         self.matches = WordMemo(self._merge, MEMO)
         self.memo = WordMemo(self._pieces, MEMO)
 
@@ -68,13 +69,7 @@ class ByteBpe:
     def _merge(self, matches: list[str]) -> list[bytes]:
         """Ids of single matches of the pattern."""
         chars = [m.encode().decode("latin-1").translate(self.bytes_as_chars) for m in matches]
-        out: list[bytes] = []
-        calls = [chars[k : k + _MATCHES] for k in range(0, len(chars), _MATCHES)]
-        for call, found in zip(calls, self.merger.encode_batch(calls, is_pretokenized=True, add_special_tokens=False), strict=True):
-            packed = np.array(found.ids, self.kind).tobytes()
-            ends = self.width * np.searchsorted(np.array(found.word_ids), np.arange(1, len(call) + 1))
-            out += [packed[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
-        return out
+        return [struct.pack(f"<{len(found)}{self.code}", *[t.id for t in found]) for found in map(self.merger.tokenize, chars)]
 
     def _pieces(self, words: list[str]) -> list[bytes]:
         """Ids of words, each with a blank before it."""
@@ -94,18 +89,53 @@ class ByteBpe:
         known = self.matches.learn([matches])
         ids = [known[m] for m in matches]
         starts = [k for k, m in enumerate(matches) if m[0] == " "]  # the blank belongs to a word's first match
-        return [b"".join(ids[a:b]) for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = []
-        for raw in texts:
-            odd = len(raw.translate(None, _RARE_ASCII)) != len(raw) or any(x in raw for x in _RARE)
-            split.append(_CUT.split(raw.decode()) if odd else raw.decode().split(" "))
-        # A text's first piece has no blank before it.
+        ends = [*starts[1:], len(ids)]
+        return [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(starts, ends, strict=True)]
+
+    def _odd(self, raw: bytes) -> bool:
+        """Does the text have white space other than single blanks, and line ends, between words?"""
+        return len(raw.translate(None, _RARE_ASCII)) != len(raw) or any(x in raw for x in _RARE) or raw[:1] == b" " or raw[-1:] == b" "
+
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts with odd white space, which the pattern cuts."""
+        split = [_CUT.split(raw.decode()) for raw in texts]
         heads = self._encode([pieces[0] for pieces in split])
         known = self.memo.learn([pieces[1:] for pieces in split])
         return [head + b"".join(map(known.__getitem__, pieces[1:])) for head, pieces in zip(heads, split, strict=True)]
 
+    def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each followed by ``end`` if given, and how many each has.
+
+        The words of all texts are numbered by their kind and each kind is encoded once; then the ids are laid out by
+        these numbers. A text's first word has no blank before it; a text with odd white space is taken as a first word.
+        """
+        raw = as_bytes(texts)
+        odd = [i for i, t in enumerate(raw) if self._odd(t)]
+        plain = list(raw)
+        for i in odd:
+            plain[i] = b""
+        lists = pc.split_pattern(pa.array(plain, pa.binary()).cast(pa.string()), " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        words = lists.flatten()
+        heads = self._encode(words.take(pa.array(offsets[:-1])).to_pylist())
+        for i, ids in zip(odd, self._whole([raw[i] for i in odd]), strict=True):
+            heads[i] = ids
+        kinds, number = word_numbers(words)
+        known = self.memo.learn([[k for k in kinds if k]])
+        packed = [known[k] if k else b"" for k in kinds]
+        tail = [] if end is None else [np.array([end], self.kind).tobytes()]
+        sizes = np.fromiter(map(len, [*packed, *heads, *tail]), np.int64, len(packed) + len(heads) + len(tail)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        source = np.frombuffer(b"".join([*packed, *heads, *tail]), self.kind)
+        which = number.astype(np.int64)
+        which[offsets[:-1]] = len(packed) + np.arange(len(raw))
+        if end is not None:
+            which = np.insert(which, offsets[1:], len(packed) + len(heads))
+            offsets = offsets + np.arange(len(offsets))
+        size = sizes[which]
+        total = np.cumsum(np.r_[0, size])[offsets]
+        return laid_out(source, starts[which], size), np.diff(total)
+
 
 def byte_bpe(path: str) -> ByteBpe:
     return kept_model(("byte_bpe", path), lambda: ByteBpe(path))
@@ -123,7 +153,6 @@ def _write(folder: str, path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path)
-        end = np.array([END], f"<u{bpe.width}").tobytes()
         store, root = _store(folder)
         part = TaskContext.get().partitionId()
         name = f"part-{part}-{uuid.uuid4().hex}"
@@ -134,9 +163,9 @@ def _write(folder: str, path: str):
                 if out is None:
                     store.create_dir(root)
                     out = store.open_output_stream(f"{root}/{name}.bin")
-                encoded = bpe.encode(as_bytes(texts))
-                out.write(b"".join(x for e in encoded for x in (e, end)))
-                sizes.append(np.fromiter(map(len, encoded), np.int64, len(encoded)) // bpe.width + 1)
+                ids, size = bpe.encode(texts, END)
+                out.write(ids.tobytes())
+                sizes.append(size)
                 doc_ids.append(batch.column("doc_id").slice(at, len(texts)).fill_null(NO_ID).to_numpy())
                 at += len(texts)
         if out is None:
