@@ -188,12 +188,11 @@ def op8_decontamination(table) -> DataFrame:
 
 @query()
 def op10_word_bpe(table) -> DataFrame:
-    ids = table("documents").select("doc_id", word_bpe.encode(F.col("text"), WORD_BPE).alias("ids"))
-    return ids.select("doc_id", "ids", word_bpe.decode(F.col("ids"), WORD_BPE).alias("decoded")).select(
+    return table("documents").select("doc_id", word_bpe.round_trip(F.col("text"), WORD_BPE).alias("t")).select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.octet_length("t.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("t.ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("t.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

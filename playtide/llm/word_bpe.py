@@ -15,16 +15,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, functions as F
 from tokenizers import Tokenizer
 
-from playtide.llm.common import WordMemo, as_bytes, byte_chars, give_back, kept_model, slices
+from playtide.llm.common import WordMemo, byte_chars, give_back, kept_model, laid_out, slices, word_numbers
 
 _NO_RULE = 1 << 40
 _NEVER = np.int64(_NO_RULE)
 _LONG = 64  # symbols of a word from which on it is proposed alone instead of in a matrix
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+MEMO = 600_000  # words, and parts of words, that a worker remembers
 
 
 class WordBpe:
@@ -44,13 +46,15 @@ class WordBpe:
         self.names = [b""] * size
         for name, i in [*self.vocab.items(), *added.items()]:
             self.names[i] = name.encode()
+        self.name_array = pa.array([n.decode() for n in self.names])
         self.byte_chars = byte_chars()
         self.symbol = [self.vocab[self.byte_chars[b]] for b in range(256)]
         self.last_symbol = [self.vocab[self.byte_chars[b] + self.suffix] for b in range(256)]
         self._merges([tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]], size)
         self._table()
-        self.memo = WordMemo(self._encode_words)
-        self.parts = WordMemo(self._encode_parts)
+        self.split = regex.compile(self.words.pattern + "|\n")
+        self.memo = WordMemo(self._encode_words, MEMO)
+        self.parts = WordMemo(self._encode_parts, MEMO)
 
     # -- rules
 
@@ -272,39 +276,63 @@ class WordBpe:
             for word, start, end, ok in zip(parts, [0, *ends], ends, good.tolist())
         ]
 
-    def _pieces(self, word: str) -> list[bytes]:
-        word = word.lower() if word.isascii() else self.library.normalizer.normalize_str(word)
-        return [m.encode() for m in self.words.findall(word)]
+    def _pieces(self, words: list[str]) -> list[list[bytes]]:
+        """The parts of words, all cut at once: none has a line end, so these stand between them."""
+        if not words:
+            return []
+        text = "\n".join(words)
+        if text.isascii():
+            text = text.lower()
+        else:
+            text = "\n".join([w.lower() if w.isascii() else self.library.normalizer.normalize_str(w) for w in words])
+        out: list[list[bytes]] = [[]]
+        for part in self.split.findall(text):
+            if part == "\n":
+                out.append([])
+            else:
+                out[-1].append(part.encode())
+        return out
 
     def _encode_words(self, words: list[bytes]) -> list[bytes]:
         """Ids of words without ASCII white space inside, as little-endian 32-bit integers."""
-        cut: list[list] = []
-        for raw in words:
-            word = raw.decode()
-            if self.added_pattern is not None and "<|" in word and self.added_pattern.search(word):
-                pieces, at = [], 0
-                for m in self.added_pattern.finditer(word):
-                    pieces += [*self._pieces(word[at : m.start()]), self.added[m.group()]]
-                    at = m.end()
-                cut.append([*pieces, *self._pieces(word[at:])])
-            else:
-                cut.append(self._pieces(word))
-        known = self.parts.learn([[p for p in c if isinstance(p, bytes)] for c in cut])
+        text = [w.decode() for w in words]
+        special = [i for i, w in enumerate(text) if "<|" in w and self.added_pattern is not None and self.added_pattern.search(w)]
+        held = {i: text[i] for i in special}
+        for i in special:
+            text[i] = ""
+        cut: list[list] = self._pieces(text)
+        for i, word in held.items():
+            pieces, at = [], 0
+            for m in self.added_pattern.finditer(word):
+                pieces += [*self._pieces([word[at : m.start()]])[0], self.added[m.group()]]
+                at = m.end()
+            cut[i] = [*pieces, *self._pieces([word[at:]])[0]]
+        known = self.parts.learn([[p for p in c if isinstance(p, bytes)] if i in held else c for i, c in enumerate(cut)])
         return [
-            b"".join([known[p] if isinstance(p, bytes) else p.to_bytes(4, "little") for p in c]) for c in cut
+            known[c[0]] if len(c) == 1 and i not in held
+            else b"".join([known[p] if isinstance(p, bytes) else p.to_bytes(4, "little") for p in c])
+            for i, c in enumerate(cut)
         ]
 
     # -- texts
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of whole texts. White space never reaches a token, so words are encoded one by one."""
-        split = [t.split() for t in texts]
-        known = self.memo.learn(split)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-    def decode(self, ids: bytes) -> bytes:
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of whole texts. White space never reaches a token, so words are encoded one by one, each kind once."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        kinds, number = word_numbers(lists.flatten().cast(pa.binary()))
+        known = self.memo.learn([[k for k in kinds if k]])
+        packed = [known[k] if k else b"" for k in kinds]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        size = sizes[number]
+        ids = laid_out(np.frombuffer(b"".join(packed), "<i4"), (np.cumsum(sizes) - sizes)[number], size)
+        ends = np.cumsum(np.r_[0, size])[lists.offsets.to_numpy()]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
         """The tokens' names with a blank between, as the library gives them for a file without decoder."""
-        return b" ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        names = self.name_array.take(ids.flatten())
+        ends = np.cumsum(np.r_[0, pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)])
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names), " ")
 
 
 def tokenizer(path: str) -> WordBpe:
@@ -322,10 +350,37 @@ def encode(text: Column, path: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = tokenizer(path)
         for texts in batches:
-            out: list[bytes] = []
-            for piece in slices(texts):
-                out += bpe.encode(as_bytes(piece))
-            yield pa.array(out, pa.binary())
+            yield pa.concat_arrays([_packed(bpe.encode(piece)) for piece in slices(texts)] or [pa.array([], pa.binary())])
+        give_back(("word_bpe", path))
+
+    return run(text)
+
+
+def _packed(lists: pa.ListArray) -> pa.Array:
+    """Lists of 32-bit integers as the bytes that hold them."""
+    ids = lists.flatten()
+    ends = (4 * lists.offsets.to_numpy().astype(np.int64)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(ids.to_numpy().tobytes())])
+
+
+def _unpacked(ids: pa.Array) -> pa.ListArray:
+    """The other way round; a null has none."""
+    ends = np.cumsum(np.r_[0, pc.fill_null(pc.binary_length(ids), 0).to_numpy(zero_copy_only=False)]) // 4
+    flat = np.frombuffer(b"".join(x or b"" for x in ids.to_pylist()), "<i4")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
+def round_trip(text: Column, path: str) -> Column:
+    """Ids of each text and the text that these ids decode to, in one pass: struct of ``ids`` and ``decoded``."""
+
+    @F.arrow_udf("struct<ids: binary, decoded: string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = tokenizer(path)
+        for texts in batches:
+            found = [bpe.encode(piece) for piece in slices(texts)]
+            ids = [_packed(x) for x in found] or [pa.array([], pa.binary())]
+            decoded = [bpe.decode(x) for x in found] or [pa.array([], pa.string())]
+            yield pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(decoded)], ["ids", "decoded"])
         give_back(("word_bpe", path))
 
     return run(text)
@@ -338,7 +393,7 @@ def decode(ids: Column, path: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = tokenizer(path)
         for packed in batches:
-            yield pa.array([bpe.decode(x or b"") for x in packed.to_pylist()], pa.binary()).cast(pa.string())
+            yield bpe.decode(_unpacked(packed))
         give_back(("word_bpe", path))
 
     return run(ids)
