@@ -31,7 +31,7 @@ PASS_BLOCKS = 20_000
 RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
 #: Elements whose contents are no text of a page as long as they are open. One that is not closed ends with the block
 #: it stands in. What ``math``, ``noscript`` and ``object`` hold is for the labeller to judge.
-SKIPPED = frozenset("template select button svg canvas audio video".split())
+SKIPPED = frozenset("template select button svg canvas audio video annotation".split())
 #: Of these one may stand in another.
 NESTED = frozenset(["svg", "template"])
 #: What begins a part of the page of its own.
@@ -39,7 +39,8 @@ SECTIONS = frozenset("article aside blockquote body dl footer form h1 h2 h3 h4 h
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var".split())
+    "strike strong sub sup time tt u var math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext "
+    "munder munderover semantics".split())
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
