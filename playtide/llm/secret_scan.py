@@ -27,23 +27,24 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 @dataclass(frozen=True)
 class CharClass:
     """Candidates are runs of ``alphabet``; a window of ``window`` characters is a secret from ``bits`` of entropy
-    a character on, if it has characters of each of ``needs``."""
+    a character on, if it has characters of each of ``needs``, of the first of them ``fewest`` at least."""
 
     alphabet: str
     window: int
     bits: float
     needs: tuple[str, ...] = ()
+    fewest: int = 1
 
 
 #: A window of 24 hex digits has 4 bits at most, random ones about 3.4; one of 20 base-64 characters log2(20) = 4.3
 #: at most, random ones about 4.0, and words written together about 3.2. Windows of 24 digits and letters of one case
-#: have log2(24) = 4.6 at most, random ones about 4.2, and names with a number in them about 3.6.
+#: have log2(24) = 4.6 at most, random ones about 4.0 with 4 to 7 digits, and words with a year in them up to 3.9.
 CLASSES = (
     CharClass("0-9a-fA-F", 24, 3.0, ("0-9", "a-fA-F")),
     CharClass("A-Za-z0-9", 20, 3.6, ("0-9", "a-z", "A-Z")),
     CharClass("A-Za-z0-9+/_=-", 24, 3.8, ("0-9", "a-z", "A-Z")),
-    CharClass("a-z0-9", 24, 3.95, ("0-9", "a-z")),
-    CharClass("A-Z0-9", 24, 3.95, ("0-9", "A-Z")),
+    CharClass("a-z0-9", 24, 3.8, ("0-9", "a-z"), 5),
+    CharClass("A-Z0-9", 24, 3.8, ("0-9", "A-Z"), 3),
 )
 
 #: Whole runs that look random and are not secret: UUIDs, paths and hyphenated or snake-case words.
@@ -63,6 +64,7 @@ ALLOWED_TEXTS = frozenset(["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"])
 
 def entropy_windows(
     run: str, window: int, bits: float, needs: tuple[frozenset, ...] = (), allowed: list[tuple[int, int]] | None = None,
+    fewest: int = 1,
 ) -> list[tuple[int, int]]:
     """Maximal stretches of ``run`` that are covered by windows of at least ``bits`` a character.
 
@@ -97,7 +99,7 @@ def entropy_windows(
             counts[gone] = n - 1
             for k, chars in enumerate(needs):
                 have[k] -= gone in chars
-        if i >= window - 1 and total <= most and all(have):
+        if i >= window - 1 and total <= most and all(have) and (not have or have[0] >= fewest):
             start = i + 1 - window
             if clear and clear[start] <= i + 1:
                 continue
@@ -117,7 +119,7 @@ class Scanner:
             return frozenset(re.findall(f"[{chars}]", "".join(map(chr, range(128)))))
 
         self.classes = [
-            (re.compile(f"[{c.alphabet}]{{{c.window},}}"), c.window, c.bits, tuple(expand(n) for n in c.needs))
+            (re.compile(f"[{c.alphabet}]{{{c.window},}}"), c.window, c.bits, tuple(expand(n) for n in c.needs), c.fewest)
             for c in classes
         ]
         self.allowed = re.compile("|".join(f"(?:{a})" for a in allowed)) if allowed else None
@@ -135,12 +137,12 @@ class Scanner:
         """(start, kind number, end): the base spans, and high-entropy spans that no base span has whole."""
         base = self.base(text)
         windows: list[tuple[int, int]] = []
-        for pattern, window, bits, needs in self.classes:
+        for pattern, window, bits, needs, fewest in self.classes:
             for m in pattern.finditer(text):
                 if m[0] in self.allowed_texts or self.allowed is not None and self.allowed.fullmatch(m[0]):
                     continue
                 clear = [i.span(1) for i in self.inside.finditer(m[0])] if self.inside is not None else []
-                windows += [(m.start() + a, m.start() + b) for a, b in entropy_windows(m[0], window, bits, needs, clear)]
+                windows += [(m.start() + a, m.start() + b) for a, b in entropy_windows(m[0], window, bits, needs, clear, fewest)]
         merged: list[list[int]] = []
         for a, b in sorted(windows):
             if merged and a <= merged[-1][1]:
