@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from playtide.llm import common, decontaminate, html_blocks, langid, line_dedup, secret_scan, word_bpe
-from test_text_operators import WORD_BPE, brute_groups, prose, rows_of, slow_bits, slow_windows
+from playtide.llm import common, decontaminate, fertility, html_blocks, langid, line_dedup, secret_scan, word_bpe
+from test_text_operators import PIECES, WORD_BPE, brute_groups, prose, rows_of, slow_bits, slow_windows
 
 # -- memory
 
@@ -162,6 +162,26 @@ def test_long_items_are_found_by_the_count_filter(spark, monkeypatch):
     assert got <= near and {p for p in near if p[1] < 3} <= got and len({p for p in near if p[1] < 3}) >= 8
 
 
+# -- fertility
+
+
+def test_bands_without_labels(spark):
+    """With the language hidden the script decides: clean documents stay, noise goes, and part of the shouted ones, as the
+    script lets through what any of its languages does."""
+    rng = random.Random(6)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) between 2000 and 9000").collect()
+    made = {
+        "clean": lambda t: t, "shouted": str.upper, "spaced": lambda t: " ".join(t.replace(" ", "")),
+        "noise": lambda t: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in w) for w in t.split()),
+    }
+    rows = [(kind, f(r["text"])) for r in table if not set("#*$%&|<>") & set(r["text"]) for kind, f in made.items()]
+    df = spark.createDataFrame(rows, "kind string, text string")
+    passed = df.select("kind", fertility.quality(F.col("text"), PIECES).alias("q")).where("not q.base_failed")
+    share = {r["kind"]: r["s"] for r in passed.groupBy("kind").agg(F.avg(F.col("q.kept").cast("int")).alias("s")).collect()}
+    assert share["clean"] > 0.9 and share["noise"] < 0.05 and share["shouted"] < 0.7 and share.get("spaced", 0) < 0.05
+    assert df.limit(0).select(fertility.quality(F.col("text"), PIECES)).count() == 0
+
+
 # -- pages
 
 
