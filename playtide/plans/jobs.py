@@ -18,6 +18,8 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import wraps
+from inspect import signature
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -30,11 +32,26 @@ from playtide.operators.skew import fits_broadcast
 from playtide.plans import accounts, bucketing, catalogue, plays, revenue
 from playtide.sources.csv import read_typed_csv, read_wide_csv, read_zipped_csv
 from playtide.sources.packed_json import read_json, read_packed_json
+from playtide.session import work_scope
 from playtide.sources.tables import TableStore, date_of, in_dates, preview, staged
 
 Log = str | DataFrame
 
 
+def _scoped(job: Callable) -> Callable:
+    """A job whose staged rows are removed when it is done; what it gives back does not read them. Previews may."""
+    kind = signature(job)
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        if kind.bind(spark, *args, **kwargs).arguments.get("dry_run"):
+            return job(spark, *args, **kwargs)
+        with work_scope(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
+
+
 @dataclass(frozen=True)
 class Counts:
     """Events of a run: all of the log where they were parsed here, those the job wants, and these by outcome."""
@@ -146,6 +163,7 @@ def _list_run(store: TableStore, job: str, counts: Counts, run_id: str | None) -
     store.append(row, "job_run", None if run_id is None else f"{job}-{run_id}")
 
 
+@_scoped
 def event_times(
     spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed", run_id: str | None = None
 ) -> Report:
@@ -155,6 +173,7 @@ def event_times(
     return _finish(store, "event_times", split, tables, dry_run, run_id)
 
 
+@_scoped
 def date_buckets(
     spark: SparkSession, store: TableStore, log: Log, bucket_path: str, dry_run: bool = False, layout: str = "packed",
     run_id: str | None = None,
@@ -167,9 +186,11 @@ def date_buckets(
         return Report({"events": preview(rows), "per_date": per_date})
     bucketing.write_buckets(rows, bucket_path)
     _finish(store, "date_buckets", split, {}, dry_run, run_id)
-    return Report({"per_date": per_date}, split.counts)
+    counted = spark.createDataFrame(per_date.collect(), per_date.schema)  # a row for each date
+    return Report({"per_date": counted}, split.counts)
 
 
+@_scoped
 def live_catalogue(
     spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed", run_id: str | None = None
 ) -> Report:
@@ -177,6 +198,7 @@ def live_catalogue(
     return _finish(store, "live_catalogue", split, {"live_catalogue": catalogue.live_catalogue_rows(split.known)}, dry_run, run_id)
 
 
+@_scoped
 def vod_catalogue(
     spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed", run_id: str | None = None
 ) -> Report:
@@ -185,6 +207,7 @@ def vod_catalogue(
     return _finish(store, "vod_catalogue", split, {"vod_catalogue": catalogue.vod_catalogue_rows(split.known)}, dry_run, run_id)
 
 
+@_scoped
 def logins(
     spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed", run_id: str | None = None
 ) -> Report:
@@ -193,6 +216,7 @@ def logins(
     return _finish(store, "logins", split, {"user_logins": accounts.login_rows(split.known)}, dry_run, run_id, if_any=True)
 
 
+@_scoped
 def signups(
     spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed", run_id: str | None = None
 ) -> Report:
@@ -225,6 +249,7 @@ def _plays(
     return _finish(store, f"{kind}s", split, {}, dry_run, run_id)
 
 
+@_scoped
 def live_plays(
     spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, keep: str = "append",
     layout: str = "packed", run_id: str | None = None,
@@ -234,6 +259,7 @@ def live_plays(
                   play_ops.live_rollup)
 
 
+@_scoped
 def vod_plays(
     spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, keep: str = "append",
     layout: str = "packed", run_id: str | None = None,
@@ -247,6 +273,7 @@ def vod_plays(
                   play_ops.vod_rollup)
 
 
+@_scoped
 def session_durations(
     spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, layout: str = "packed", run_id: str | None = None
 ) -> Report:
@@ -256,6 +283,7 @@ def session_durations(
     return _finish(store, "session_durations", split, {"session_duration": rows}, dry_run, run_id)
 
 
+@_scoped
 def purchases(spark: SparkSession, store: TableStore, log: Log, dry_run: bool = False, run_id: str | None = None) -> Report:
     """Payments and subscriptions from date-bucketed events, given by their path or as a frame.
 

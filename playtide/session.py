@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -61,9 +64,42 @@ def build_session(
     return configure(builder.getOrCreate())
 
 
+#: Folders that this process made under the shared folder, and those of the scope that is open.
+_MADE: list[str] = []
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return f"{base.rstrip('/')}/playtide/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/playtide/{label}-{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    (_MADE if scope is None else scope).append(path)
+    return path
+
+
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders of this library's own making, wherever Spark can reach them."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end, also after an error; frames that read it must be used before."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        remove_folders(spark, made)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove what this process has staged outside of scopes. Call it when no result that reads it is needed any more."""
+    remove_folders(spark, _MADE)
+    _MADE.clear()

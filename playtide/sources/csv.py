@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator
 
 import pandas as pd
@@ -63,12 +64,12 @@ def lines_to_wide(lines: DataFrame, header: bool = True, sep: str = ",") -> Data
     first = lines.where(F.col("line_no") == 0).select("line").distinct().limit(2).collect()
     if len(first) != 1:
         raise ValueError("the archives do not share one header line")
-    cells = first[0]["line"].split(sep)
-    titles = [c.strip('"') if header else f"_c{i}" for i, c in enumerate(cells)]
+    cells = next(csv.reader([first[0]["line"]], delimiter=sep))  # a quoted title may hold the separator
+    titles = [c if header else f"_c{i}" for i, c in enumerate(cells)]
     names = [t if t.strip() else f"_c{i}" for i, t in enumerate(titles)]
     body = lines.where(F.col("line_no") > 0) if header else lines
     schema = ", ".join(f"f{i} string" for i in range(len(names)))
-    parsed = body.where(F.trim("line") != "").select(F.from_csv("line", schema, {"sep": sep}).alias("r"))
+    parsed = body.where(F.trim("line") != "").select(F.from_csv("line", schema, {"sep": sep, "escape": '"'}).alias("r"))
     return parsed.select(*[F.col(f"r.f{i}").alias(n) for i, n in enumerate(names)])
 
 

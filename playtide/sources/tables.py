@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functi
 from pyspark.errors import AnalysisException
 
 from playtide.schemas import FACT_TIMES
-from playtide.session import work_dir
+from playtide.session import remove_folders, work_dir, work_scope
 
 _BATCH, _RUN, _DATE, _BUCKET, _VERSION = "batch_id", "run_id", "date", "bucket", "version"
 #: Before a run id in a folder's name, so that no id is read as a number or a date.
@@ -106,12 +106,6 @@ class FolderStore:
         store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return [entry.getPath().toString() for entry in store.globStatus(path) or []]
 
-    def _remove(self, folders: list[str]) -> None:
-        """Remove folders of this store that no reader needs any more."""
-        for folder in folders:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
     def version(self, table: str) -> int | None:
         """The latest version that was named, None for a table that was never rewritten."""
         named = [int(n.rsplit("=", 1)[1]) for n in self._names(f"{self.path(table)}__versions/{_VERSION}=*")]
@@ -121,7 +115,7 @@ class FolderStore:
         """From here on readers see this version. Names of versions long past are removed."""
         marker = f"{self.path(table)}__versions/{_VERSION}="
         self.spark.range(1).write.format(self.fmt).mode("overwrite").save(f"{marker}{version}")
-        self._remove([n for n in self._names(f"{marker}*") if int(n.rsplit("=", 1)[1]) < version - 1])
+        remove_folders(self.spark, [n for n in self._names(f"{marker}*") if int(n.rsplit("=", 1)[1]) < version - 1])
 
     def home(self, table: str) -> str:
         """The folder that holds the table's rows now."""
@@ -198,7 +192,33 @@ class FolderStore:
         """The micro-batches between two ids, without a look at the folders of others."""
         ids = ",".join(str(i) for i in range(after + 1, before))
         home = self.home(table)
-        return self._load(f"{home}/{_BATCH}={{{ids}}}", base=home) if ids else None
+        parts = [self._load(f"{home}/{_BATCH}={{{ids}}}", base=home) if ids else None, self._part(home, "")]
+        if parts[1] is not None:  # batches that were compacted
+            known = _BATCH in parts[1].columns
+            parts[1] = parts[1].where((F.col(_BATCH) > after) & (F.col(_BATCH) < before)) if known else None
+        parts = [p for p in parts if p is not None]
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    def compact_batches(self, table: str) -> int:
+        """Gather the folders of all micro-batches but the last into few files; returns how many there were.
+
+        The last batch keeps its folder, as it may come again. Call it while no stream writes to the table, or from
+        the stream's own batch function. Readers see the table as it was until the new version is named.
+        """
+        home = self.home(table)
+        ids = sorted(int(n.rsplit("=", 1)[1]) for n in self._names(f"{home}/{_BATCH}=*"))
+        if len(ids) < 2:
+            return 0
+        version = (self.version(table) or 0) + 1
+        slot, rows = self._slot(table, version), self.scan(table)
+        rows.where(F.col(_BATCH).isNull() | (F.col(_BATCH) < ids[-1])).hint("rebalance").write.format(self.fmt).mode("overwrite").save(slot)
+        last = self._load(f"{home}/{_BATCH}={ids[-1]}")
+        if last is not None:
+            last.write.format(self.fmt).mode("overwrite").save(f"{slot}/{_BATCH}={ids[-1]}")
+        self._name_version(table, version)
+        if home == self.path(table):
+            remove_folders(self.spark, self._names(f"{home}/{_BATCH}=*"))
+        return len(ids) - 1
 
     def buckets(self, table: str, wanted: list[int] | None = None) -> DataFrame | None:
         """The rows of a table that ``replace_buckets`` wrote, of all its buckets or of some."""
@@ -231,7 +251,7 @@ class FolderStore:
             number = int(path.rsplit("=", 1)[1])
             if before is not None and number <= before:
                 old.setdefault(path.rsplit("/", 2)[1], []).append((number, path))
-        self._remove([path for found in old.values() for _, path in sorted(found)[:-1]])
+        remove_folders(self.spark, [path for found in old.values() for _, path in sorted(found)[:-1]])
 
     def replace_dates(self, df: DataFrame, table: str) -> None:
         """Put these rows in place of the stored rows of their dates; other dates keep their files.
@@ -243,9 +263,10 @@ class FolderStore:
             rows = self._part(home, kind)
             if rows is not None and not rows.isEmpty():
                 raise ValueError(f"table {table} has rows that are not stored by date alone")
-        rows = staged(df, "dates")  # they may come from the folders they replace
-        self._writer(rows, table, "overwrite").option("partitionOverwriteMode", "dynamic").save(home)
-        self._keep_schema(rows, table, home)
+        with work_scope(self.spark):
+            rows = staged(df, "dates")  # they may come from the folders they replace
+            self._writer(rows, table, "overwrite").option("partitionOverwriteMode", "dynamic").save(home)
+            self._keep_schema(rows, table, home)
 
 
 class CatalogStore:
@@ -287,10 +308,15 @@ class CatalogStore:
         )
 
     def replace(self, df: DataFrame, table: str) -> None:
-        """Rewrite a table, also from its own rows: they are staged before it is touched."""
-        staged = f"{self.name(table)}__staged"
-        df.write.mode("overwrite").saveAsTable(staged)
-        self.spark.read.table(staged).write.mode("overwrite").saveAsTable(self.name(table))
+        """Rewrite a table, also from its own rows: the new rows are written as a table beside it, which takes its name
+        when it is complete. The old rows are dropped last."""
+        new, old = f"{self.name(table)}__new", f"{self.name(table)}__old"
+        df.write.mode("overwrite").saveAsTable(new)
+        if self.find(table) is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+            self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {old}")
+        self.spark.sql(f"ALTER TABLE {new} RENAME TO {self.name(table)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 class JdbcStore:

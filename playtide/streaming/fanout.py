@@ -10,6 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from playtide.operators.plays import add_durations, merge_watch_time
 from playtide.operators.skew import fits_broadcast
+from playtide.session import work_scope
 from playtide.sources.tables import FolderStore, TableStore, staged
 from playtide.streaming.messages import (
     BRANCHES, VIEWING_KEYS, WATCH_KEYS, decode_heartbeats, decode_messages, with_experiment,
@@ -176,7 +177,8 @@ def rewrite_totals(
     every row carries the last batch.
     """
     if isinstance(store, FolderStore):
-        return _rewrite_buckets(rows, store, table, batch_id, keys, buckets)
+        with work_scope(store.spark):
+            return _rewrite_buckets(rows, store, table, batch_id, keys, buckets)
     held = store.find(table)
     total = rows.groupBy(*keys).agg(F.sum("duration").alias("duration"))
     if held is not None:

@@ -198,6 +198,7 @@ FROM msg WHERE role = 'email-delivery'"""
 ORACLES: dict[str, str] = {
     "packed_json_scan": f"WITH {EV} SELECT {FLAT} FROM ev",
     "packed_json_lines_scan": f"WITH {EV} SELECT {FLAT} FROM ev",
+    "packed_json_measured": f"WITH {EV} SELECT {FLAT} FROM ev",
     "packed_json_corrupt": f"""
 WITH {LINES}
 SELECT CAST(NULL AS VARCHAR) AS customer_id, count(*) AS records, CAST(sum(length(line)) AS BIGINT) AS characters
@@ -210,6 +211,10 @@ SELECT p_partkey AS video_id, p_partkey + 1000 AS video_dve_id, CAST(p_size % 30
   CAST(NULL AS VARCHAR) AS tags, TIMESTAMP '1970-01-01 00:00:00' AS imported_at, TIMESTAMP '1970-01-01 00:00:00' AS updated_at
 FROM part""",
     "zipped_csv_rates": f"WITH {DAYS} SELECT {RATES_OUT} FROM rates",
+    "wide_csv_rates": f"WITH {DAYS} SELECT {RATES_OUT} FROM rates",
+    "sport_property_load": """
+SELECT r_name AS sport, CAST(n_nationkey AS INTEGER) AS property_id, CAST(c_custkey AS INTEGER) AS tournament_id, c_name AS tournament
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "key_value_lookup": """
 SELECT CAST(o_custkey AS VARCHAR) AS id, CAST(max(o_orderkey) AS VARCHAR) AS name FROM orders GROUP BY o_custkey""",
     "rates_unpivot": f"WITH {DAYS} SELECT {RATES_OUT} FROM rates",

@@ -66,6 +66,18 @@ def packed_json_lines_scan(spark, sf_dir):
     return _flat(packed_json.read_packed_json(spark, _packed_file(spark, sf_dir), layout="lines"))
 
 
+@query
+def packed_json_measured(spark, sf_dir):
+    """A log of both kinds of files: the events of even ids back-to-back, the others on lines, as each file is found to be."""
+    log = inputs.event_log(spark, sf_dir, "event_id")
+    numbered = log.select("event_id", F.to_json(F.struct(*schemas.EVENT.names), inputs.JSON_TS).alias("record"))
+    path = work_dir(spark, "mixed-json")
+    even = F.col("event_id") % 2 == 0
+    inputs.packed(numbered.where(even), 50, "", "", "").write.text(f"{path}/kind=packed")
+    numbered.where(~even).select(F.col("record").alias("value")).write.text(f"{path}/kind=lines")
+    return _flat(packed_json.read_packed_json(spark, path, layout="measured"))
+
+
 @query
 def packed_json_corrupt(spark, sf_dir):
     """Text that is no event log: each line of the documents is a record, and none parses."""
@@ -108,6 +120,30 @@ def vod_catalogue_backfill(spark, sf_dir):
     return catalogue.vod_backfill(csv.read_typed_csv(spark, path, schemas.VOD_CATALOGUE_CSV))
 
 
+@query
+def wide_csv_rates(spark, sf_dir):
+    """The rate sheet as plain CSV files."""
+    sheet = inputs.rate_sheet(spark, sf_dir)
+    path = work_dir(spark, "wide-csv")
+    sheet.write.options(header=True).csv(path)
+    return _rates_as_text(revenue.exchange_rates(csv.read_wide_csv(spark, path)))
+
+
+@query
+def sport_property_load(spark, sf_dir):
+    """Regions stand in for sports and nations for their properties, loaded by jobs; then tournaments from customers."""
+    store = _warehouse(spark, sf_dir)
+    regions, nations = inputs.table(spark, sf_dir, "region"), inputs.table(spark, sf_dir, "nation")
+    jobs.load_lookup(spark, store, "sport", _csv_file(regions.select(F.col("r_regionkey").alias("sport_id"), F.col("r_name").alias("name")), "sport"))
+    properties = nations.select(F.col("n_regionkey").alias("sport_id"), F.col("n_nationkey").alias("property_id"), F.col("n_name").alias("name"))
+    jobs.load_lookup(spark, store, "sport_property", _csv_file(properties, "property"))
+    rows = inputs.table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("property_id"), F.col("c_custkey").alias("tournament_id"), F.col("c_name").alias("name"))
+    jobs.load_tournaments(spark, store, _csv_file(rows, "tournaments"))
+    found = store.scan("sport_property_tournament").withColumnRenamed("name", "tournament")
+    return found.join(store.scan("sport").withColumnRenamed("name", "sport"), "sport_id").select("sport", "property_id", "tournament_id", "tournament")
+
+
 def _zip_archives(sheet: DataFrame) -> DataFrame:
     """The sheet's rows as one zipped CSV per month: at most 31 lines each."""
     header = ",".join(c if c.strip() and not c.startswith("_") else "" for c in sheet.columns)

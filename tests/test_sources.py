@@ -1,4 +1,5 @@
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -7,9 +8,9 @@ from pyspark.sql import functions as F
 from playtide import schemas
 from playtide.plans.catalogue import vod_backfill
 from playtide.plans.revenue import exchange_rates
-from playtide.session import scale_conf, work_dir
+from playtide.session import clear_work, scale_conf, work_dir, work_scope
 from playtide.sources import csv
-from playtide.sources.tables import CatalogStore, FolderStore, preview
+from playtide.sources.tables import CatalogStore, FolderStore, preview, staged
 
 
 def test_typed_csv_options(spark, tmp_path):
@@ -149,3 +150,39 @@ def test_rows_of_all_kinds_are_found_after_a_replace(spark, tmp_path):
         (None, None): 5, (1, None): 6, (None, "0012"): 7}
     store.replace(rows(1), "t")
     assert store.scan("t").count() == 1
+
+
+def test_a_quoted_title_holds_the_separator(spark):
+    lines = spark.createDataFrame([("z", "f", 0, 'Date,"GBP, new","a ""b"""'), ("z", "f", 1, '01 Jan 2018,"1,5","x ""y"""')],
+                                  "path string, entry string, line_no long, line string")
+    wide = csv.lines_to_wide(lines)
+    assert wide.columns == ["Date", "GBP, new", 'a "b"'] and tuple(wide.first()) == ("01 Jan 2018", "1,5", 'x "y"')
+
+
+def test_batches_are_compacted_but_for_the_last(spark, tmp_path):
+    store = FolderStore(spark, str(tmp_path))
+    for n in range(5):
+        store.write_batch(spark.range(n + 1), "t", n)
+    before = sorted((r.id, r.batch_id) for r in store.scan("t").collect())
+    assert store.compact_batches("t") == 4
+    assert sorted((r.id, r.batch_id) for r in store.scan("t").collect()) == before
+    assert len([f for f in (tmp_path / "t__v1").iterdir() if f.name.startswith("batch_id=")]) == 1
+    store.write_batch(spark.range(2), "t", 4)  # the last one comes again
+    store.write_batch(spark.range(1), "t", 5)
+    assert {r.batch_id: r["count"] for r in store.scan("t").groupBy("batch_id").count().collect()} == {0: 1, 1: 2, 2: 3, 3: 4, 4: 2, 5: 1}
+    assert store.batches("t", 1, 5).count() == 3 + 4 + 2
+    assert store.compact_batches("t") == 1 and store.compact_batches("t") == 0
+    assert store.scan("t").count() == 13
+
+
+def test_staged_rows_are_removed(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    with pytest.raises(ZeroDivisionError), work_scope(spark):
+        inside = staged(spark.range(5), "inside")
+        assert inside.count() == 5 and list(base.glob("playtide/inside-*"))
+        1 / 0
+    assert not list(base.glob("playtide/inside-*"))
+    outside = staged(spark.range(5), "outside")
+    assert outside.count() == 5
+    clear_work(spark)
+    assert not list(base.glob("playtide/outside-*"))
