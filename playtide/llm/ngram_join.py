@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playtide.llm.common import WordMemo, as_bytes, give_back, hash_filter, may_have, mixed, slices
+from playtide.operators.skew import ROWS_PER_TASK, hot_counted, split_hot_join
 from playtide.session import work_dir
 
 WIDTH = 5
@@ -189,6 +190,8 @@ def _gather(table: pa.Table) -> pa.Table:
 
 #: Rows of small frames, of pairs and links, that a task writes.
 PAIRS_OF_TASK = 100_000
+#: Rows of one shingle, or links of one set, that a task of a join gets; those of larger ones are spread.
+HOT_ROWS = ROWS_PER_TASK
 
 
 def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
@@ -287,11 +290,25 @@ def _postings(percent: int):
     return run
 
 
+def _with(rows: DataFrame, totals: DataFrame, key: str, n: str, most: int | None = None, how: str = "inner") -> DataFrame:
+    """The rows beside their key's totals, of which ``n`` counts the key's rows.
+
+    Spark splits no skewed side next to an aggregate, so large keys are spread by their counts. ``most``: how many rows
+    there are, where that is known; few need no look at the counts.
+    """
+    if most is not None and most <= HOT_ROWS:
+        return rows.join(totals, key, how)
+    totals = staged(totals, "totals")
+    hot = hot_counted(totals, [key], n, HOT_ROWS)
+    return split_hot_join(rows, totals, [key], how, hot=hot)
+
+
 def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, component): the smallest node each node of the edges (a, b) can reach.
 
     Rounds of two steps until nothing changes: every neighbour larger than a node moves to the node's smallest
-    neighbour, then every smaller one does. Each step is a minimum by node and a join; paths halve in each round.
+    neighbour, then every smaller one does. Each step is a minimum by node and a join; paths halve in each round. A node
+    with more links than a task should get is counted with its minimum, and its links are spread over several tasks.
     """
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", rows)
     seen = None
@@ -302,10 +319,10 @@ def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         seen, rows = mark, mark[0]
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a")
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"), F.count("*").alias("n"))
+        large = _with(both.where("b > a"), low, "a", "n", 2 * rows).select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+        small = _with(large, low, "a", "n", 2 * rows)
         edges = staged(
             small.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
             .unionByName(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct(), "edges", rows)
@@ -343,9 +360,9 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int
     kept = read.join(able.select("set_id"), "set_id").dropDuplicates(["set_id"])
     read = staged(kept.select(F.monotonically_increasing_id().alias("sid"), "set_id", "tokens"), "shingle-sets")
     each = read.select("sid", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
-    counts = each.groupBy("token").agg(F.count("*").alias("count")).where("count > 1")
+    counts = each.groupBy("token").agg(F.count("*").alias("count")).where("count > 1")  # few next to all shingles
     # A set's shingles that are in others too, rare ones first; sets with too few of them cannot link.
-    shared = each.join(counts, "token").groupBy("sid", "size").agg(
+    shared = _with(each, counts, "token", "count").groupBy("sid", "size").agg(
         F.sort_array(F.collect_list(F.struct("count", "token"))).alias("shared")
     ).where(F.size("shared") >= F.ceil(F.col("size") * percent / 100))
     postings = staged(shared.mapInArrow(
@@ -365,7 +382,7 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int
     def alike(x: str, y: str) -> F.Column:
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    links, labels = None, None
+    links, labels, total = None, None, postings.count()
     for turn in range(LEADER_ROUNDS + 1):
         placed = postings.withColumn("component", F.col("sid")) if labels is None else postings.join(
             labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
@@ -374,13 +391,14 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int
             # The first leaders are few, as sets rank alike in all lists; later ones differ from list to list.
             F.min(F.struct((F.xxhash64("sid", "token", F.lit(turn)) if turn else F.xxhash64("sid")).alias("rank"), F.col("sid").alias("leader"),
                            F.col("size").alias("leader_size"), F.col("component").alias("leader_component"))).alias("first"),
+            F.count("*").alias("places"),
         ).where("low <> high")
         if turn < LEADER_ROUNDS:
-            pairs = placed.join(lists.select("token", "first.*"), "token").where(
+            pairs = _with(placed, lists.select("token", "places", "first.*"), "token", "places", total).where(
                 (F.col("component") != F.col("leader_component")) & alike("size", "leader_size")
             ).select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")).distinct()
         else:
-            several = placed.join(lists.select("token"), "token", "left_semi")
+            several = _with(placed, lists.select("token", "places"), "token", "places", total, "left_semi")
             several = several.join(sets.select("sid", *_PARTS), "sid")
             columns = ("sid", "size", "matches", "component", *_PARTS)
             left = several.where("early").select("token", *(F.col(c).alias(f"x_{c}") for c in columns))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from playtide.llm import common, decontaminate, fertility, html_blocks, langid, line_dedup, secret_scan, word_bpe
+from playtide.llm import common, decontaminate, fertility, html_blocks, langid, line_dedup, ngram_join, secret_scan, word_bpe
 from test_text_operators import PIECES, WORD_BPE, brute_groups, prose, rows_of, slow_bits, slow_windows
 
 # -- memory
@@ -79,6 +79,28 @@ def test_a_line_of_most_documents_is_spread(spark):
     assert [r["__tasks"] for r in held[0].table.collect()] == [30]
 
 
+# -- n-gram join
+
+
+def test_large_shingles_and_nodes_are_spread(spark, monkeypatch):
+    """The same groups when all but the smallest keys count as large."""
+    rng = random.Random(13)
+    shared = prose(rng, 30)
+    rows = [(i, f"{shared} {prose(rng, 40)}") for i in range(40)]
+    base = prose(rng, 60).split()
+    for i in range(40, 80):
+        words = list(base)
+        words[rng.randrange(60)] = f"new{i}"
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(ngram_join, "HOT_ROWS", 5)
+    real, hot = ngram_join.hot_counted, []
+    monkeypatch.setattr(ngram_join, "hot_counted", lambda *args: hot.append(real(*args)) or hot[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows_of(ngram_join.groups(ngram_join.link(df)))]
+    assert sorted(got) == sorted(brute_groups(rows))
+    assert sum(h.table is not None for h in hot) >= 4
+
+
 # -- language
 
 
