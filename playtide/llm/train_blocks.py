@@ -1,18 +1,20 @@
 """Training of the block labeller: ``python -m playtide.llm.train_blocks`` writes ``block_weights.npz``.
 
 The pages are made up from the conventions of web pages (which elements, classes and ids sites use for articles,
-menus, notices, adverts, comments and so on) with invented words, so that every block's label is known.
+menus, notices, adverts, comments and so on), so that every block's label is known. Their words are frequent ones of
+several languages or invented ones. Part of the pages name no class or id at all, so that tags, sizes and order count too.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 
 import numpy as np
 
 from playtide.llm.html_blocks import HIDDEN, INPUTS, WEIGHTS, Labeller, _sigmoid, blocks, features, run_lstm, turned
 
-PAGES, EPOCHS, BATCH, RATE = 2500, 14, 32, 0.01
+PAGES, EPOCHS, BATCH, RATE = 6000, 16, 32, 0.01
 
 _MAIN = (
     ("<article>", "</article>"), ('<article class="post">', "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"),
@@ -35,12 +37,31 @@ _SIDES = {
     "comments": (('<section class="comments">', "</section>"), ('<div id="comments">', "</div>"), ('<div class="comment-list">', "</div>"),
                  ('<ol class="commentlist">', "</ol>"), ('<div id="disqus" class="discussion replies">', "</div>")),
 }
+#: Frequent words, and words of menus, notices, forms and comments.
+_WORDS = {
+    "en": "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which one you were all "
+          "their there been many who more when about time some people year day house water river work school city music paper light",
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei "
+          "einer um am sind noch wie einem über so zum haben nur oder aber vor zur bis mehr durch Jahr Stadt Haus Wasser Arbeit",
+    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec ils mais comme ou si leur deux "
+          "cette elle aussi entre fait tout être même ans ville maison eau travail musique lumière pays jour",
+    "es": "de la que el en y a los se del las un por con no una su para es al lo como más pero sus le ya o este sí porque esta entre cuando muy "
+          "sin sobre también me hasta hay donde ciudad casa agua trabajo año música luz río país día",
+}
+_LABELS = ("Home News Sport Weather About Contact Search Login Register Subscribe Share Tweet Follow Menu Next Previous Archive Shop Blog Help Privacy "
+           "Terms Cookies Accept Settings Sitemap Imprint Newsletter Related Popular Comments Reply Email Name Password Startseite Kontakt Impressum "
+           "Accueil Actualités Inicio Noticias").split()
 _SYLLABLES = "the er on an re he in ed nd ha at en es of nt ea ti to io le is ou ar as de rt ve que sch ung ció mente eau".split()
 
 
+_ATTRIBUTES = re.compile(r""" (?:class|id|role)=(?:"[^"]*"|'[^']*')""")
+
+
 class _Writer:
     def __init__(self, rng: np.random.Generator):
         self.rng = rng
+        self.vocabulary = None if rng.random() < 0.4 else self.pick([*_WORDS.values()]).split()
+        self.named = rng.random() < 0.8  # do elements of this page have classes and ids?
 
     def pick(self, items):
         return items[int(self.rng.integers(len(items)))]
@@ -48,7 +69,10 @@ class _Writer:
     def words(self, n: int) -> str:
         out = []
         for k in range(n):
-            word = "".join(self.pick(_SYLLABLES) for _ in range(int(self.rng.integers(1, 5))))
+            if self.vocabulary is None:
+                word = "".join(self.pick(_SYLLABLES) for _ in range(int(self.rng.integers(1, 5))))
+            else:
+                word = self.pick(self.vocabulary)
             if self.rng.random() < 0.1:  # a letter or a mark alone
                 word = self.pick(["a", "x", "b", "&amp;", "1", "-"])
             mark = self.pick(["", "", "", "", "", "", ",", ".", "!", "***", "&amp;"])
@@ -56,6 +80,14 @@ class _Writer:
         text = " ".join(out)
         return text.upper() if self.rng.random() < 0.05 else text + self.pick([".", ".", "", "!"])
 
+    def label(self, n: int) -> str:
+        """A few words of a menu or form."""
+        return " ".join(self.pick(_LABELS) for _ in range(min(n, 3))) if self.vocabulary is not None and self.rng.random() < 0.7 else self.words(n)
+
+    def bare(self, page: str) -> str:
+        """The page without its classes, ids and roles, if it is one of those."""
+        return page if self.named else _ATTRIBUTES.sub("", page)
+
     def sizes(self) -> int:
         return int(self.pick([1, 2, 4, 8, 15, 30, 30, 60, 60, 120]))
 
@@ -76,18 +108,33 @@ class _Writer:
                 out.append("<ul>" + "".join(f"<li>{self.words(self.sizes())}</li>" for _ in range(3)) + "</ul>")
             elif kind < 0.95:
                 out.append(f"<blockquote><p>{text}</p></blockquote>")
-            else:
+            elif kind < 0.96:
                 out.append(f"<div>{text}</div>")
+            else:
+                out.append(self.special())
         return "".join(out)
 
+    def special(self) -> str:
+        """A table, code, a figure with its caption, or a list of definitions, as articles hold them."""
+        kind, few = int(self.rng.integers(4)), int(self.rng.integers(2, 5))
+        if kind == 0:
+            rows = [[self.words(int(self.rng.integers(1, 5))) for _ in range(3)] for _ in range(few)]
+            head = "<tr>" + "".join(f"<th>{self.words(1)}</th>" for _ in range(3)) + "</tr>"
+            return f"<table>{head}" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+        if kind == 1:
+            return "<pre><code>" + "\n".join(f"{self.words(1)} = {self.words(1)}({k})" for k in range(few)) + "</code></pre>"
+        if kind == 2:
+            return f"<figure><img src='x.png'><figcaption>{self.words(int(self.rng.integers(3, 15)))}</figcaption></figure>"
+        return "<dl>" + "".join(f"<dt>{self.words(2)}</dt><dd>{self.words(self.sizes())}</dd>" for _ in range(few)) + "</dl>"
+
     def side(self, kind: str) -> str:
         first, last = self.pick(_SIDES[kind])
         if kind in ("menu", "header") or kind == "side" and self.rng.random() < 0.4:
-            body = "".join(f"<li><a href='/{k}'>{self.words(int(self.rng.integers(1, 4)))}</a></li>" for k in range(int(self.rng.integers(1, 8))))
+            body = "".join(f"<li><a href='/{k}'>{self.label(int(self.rng.integers(1, 4)))}</a></li>" for k in range(int(self.rng.integers(1, 8))))
             body = f"<ul>{body}</ul>" if self.rng.random() < 0.8 else body
             body = f"<h1>{self.words(2)}</h1>{body}" if kind == "header" and self.rng.random() < 0.5 else body
         elif kind == "form":
-            body = f"<label>{self.words(2)}</label><input name=q>{self.words(3)}<p>{self.words(6)}</p>"
+            body = f"<label>{self.label(2)}</label><input name=q>{self.label(3)}<p>{self.words(6)}</p>"
         elif kind == "footer":
             body = self.pick(["&copy; 2020 ", "&copy; ", ""]) + f"{self.words(self.pick([3, 8, 20]))}" + self.pick(["", f"<p>{self.words(6)}</p>"])
         elif kind == "comments":
@@ -106,7 +153,7 @@ class _Writer:
             first, last = self.pick([("", ""), ("<article>", "</article>"), (first, last)])
             body = self.words(self.sizes()) if self.rng.random() < 0.5 else self.paragraphs(int(self.rng.integers(1, 4)))
             ahead, behind = self.pick([("", ""), ("", ""), (self.side("menu"), ""), (self.side("form"), ""), (self.side("ad"), self.side("footer"))])
-            return f"{ahead}\x01{first}{body}{last}\x02{behind}", first
+            return self.bare(f"{ahead}\x01{first}{body}{last}\x02{behind}"), first
         before = [self.side(k) for k in ("header", "menu", "notice", "ad", "side", "form") if self.rng.random() < (0.85 if k == "menu" else 0.4)]
         after = [self.side(k) for k in ("ad", "side", "comments", "form", "notice", "footer") if self.rng.random() < (0.85 if k == "footer" else 0.35)]
         count = int(self.pick([1, 1, 2, 4, 8, 12]))
@@ -116,7 +163,7 @@ class _Writer:
         inner = [self.side(k) for k in ("ad", "side", "comments", "form") if self.rng.random() < 0.12]
         half = int(self.rng.integers(count + 1))
         main = title + self.paragraphs(half) + "\x02" + "".join(inner) + "\x01" + self.paragraphs(count - half)
-        return f"<html><body>{''.join(before)}{first}\x01{main}{last}\x02{''.join(after)}</body></html>", first
+        return self.bare(f"<html><body>{''.join(before)}{first}\x01{main}{last}\x02{''.join(after)}</body></html>"), first
 
 
 def labelled(rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +201,7 @@ def _backward(x, lengths, w, u, kept, grad):
     return x.reshape(-1, x.shape[2]).T @ flat, du, flat.sum(axis=0)
 
 
-def train(pages: int = PAGES, epochs: int = EPOCHS, seed: int = 11) -> dict[str, np.ndarray]:
+def train(pages: int = PAGES, epochs: int = EPOCHS, seed: int = 12) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     data = [d for d in (labelled(rng) for _ in range(pages)) if len(d[1])]
     draw = lambda *shape: (rng.standard_normal(shape) * (0.5 / np.sqrt(shape[0]))).astype(np.float32)

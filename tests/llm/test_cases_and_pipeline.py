@@ -237,6 +237,17 @@ HAND_MADE = [
     <form action="/s"><label>Your name</label><input name="n"><button>Send</button></form><div class="footer">All rights reserved</div></body></html>""",
      ["How we bake bread", "Mix flour, water and salt in a large bowl and let the dough rest for an hour before you work it.",
       "Then fold it four times, wait until it has doubled, and bake it in a hot oven until the crust is dark."]),
+    ("""<html><body><div><a href="/">Start</a> <a href="/docs">Docs</a> <a href="/faq">Questions</a></div><div><h1>Reading a file line by line</h1>
+    <p>A large file should not be read into memory as a whole. Open it and take one line after the other, as in this example.</p>
+    <pre><code>for line in open(name): count = count + 1</code></pre><p>The table shows how long this takes for files of different sizes on an ordinary machine.</p>
+    <table><tr><th>Size</th><th>Seconds</th></tr><tr><td>One megabyte</td><td>0.02</td></tr><tr><td>One gigabyte</td><td>19</td></tr></table>
+    <figure><img src="t.png"><figcaption>Time against size, on a logarithmic scale for both of them.</figcaption></figure>
+    <dl><dt>Buffer</dt><dd>The part of a file that the system has read ahead before the program asks for it.</dd></dl></div>
+    <div>Copyright 2019, all rights reserved</div></body></html>""",
+     ["Reading a file line by line", "A large file should not be read into memory as a whole. Open it and take one line after the other, as in this example.",
+      "for line in open(name): count = count + 1", "The table shows how long this takes for files of different sizes on an ordinary machine.",
+      "Size", "Seconds", "One megabyte", "0.02", "One gigabyte", "19", "Time against size, on a logarithmic scale for both of them.", "Buffer",
+      "The part of a file that the system has read ahead before the program asks for it."]),
 ]
 
 
