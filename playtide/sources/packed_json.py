@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -69,17 +69,39 @@ def parse_records(
     return events.select(*[F.col("e").getField(name).alias(name) for name in schema.names])
 
 
-def measured_layouts(spark: SparkSession, path: str) -> DataFrame:
-    """``file`` and ``layout`` of each file: ``packed`` where more records follow a ``}`` at once than on a new line.
+#: Bytes at the start of a file from which its layout is told.
+HEAD_BYTES = 64 * 1024
+_READERS = 32
 
-    Cut at every closing brace, files of both kinds go to many tasks in small pieces. This reads the whole log.
+_AT_ONCE, _APART = re.compile(rb"\}\{"), re.compile(rb"\}[ \t\r\n]+\{")
+
+
+def layout_of(head: bytes) -> str:
+    """``packed`` where more records follow a ``}`` at once than after white space."""
+    return "packed" if len(_AT_ONCE.findall(head)) > len(_APART.findall(head)) else "lines"
+
+
+def measured_layouts(spark: SparkSession, path: str | list[str], head_bytes: int = HEAD_BYTES) -> dict[str, str]:
+    """The layout of each file, from its first ``head_bytes`` bytes (after decompression).
+
+    The files are listed, not scanned: whatever their size, so many bytes of each are read. The driver does this, as it
+    lists all files anyway, with several readers at a time. A file whose first record is longer than that
+    is taken as ``lines``; the limit on pieces tells where that was wrong.
     """
-    piece = F.col("value")
-    pieces = spark.read.option("lineSep", "}").text(path).select(piece, F.col("_metadata.file_path").alias("file"))
-    opens = F.ltrim(piece, F.lit(_SPACE)).startswith("{")
-    packed, lines = F.count_if(piece.startswith("{")), F.count_if(opens & ~piece.startswith("{"))
-    # The first record of a file follows nothing.
-    return pieces.groupBy("file").agg(F.when(packed - 1 > lines, "packed").otherwise("lines").alias("layout"))
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+    names = [row["path"] for row in spark.read.format("binaryFile").load(path).select("path").toLocalIterator()]
+
+    def layout(name: str) -> str:
+        file = hadoop.fs.Path(name)
+        stream, codec = file.getFileSystem(conf).open(file), codecs.getCodec(file)
+        try:
+            return layout_of(bytes((codec.createInputStream(stream) if codec else stream).readNBytes(head_bytes)))
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(_READERS) as readers:
+        return dict(zip(names, readers.map(layout, names), strict=True))
 
 
 def _bounded(row: Column, layout: str, limit_bytes: int) -> Column:
@@ -105,18 +127,17 @@ def read_packed_json(
     Both layouts accept objects back-to-back and on lines. They differ in where a file is cut for
     parallel reading: ``packed`` between ``}`` and ``{``, so a file of many gigabytes on one line
     splits over many tasks; ``lines`` at line ends. A piece of over ``limit_bytes`` fails the query: its file has
-    the other layout and would end in one task. ``measured`` looks at every file first and reads each by its own
-    layout, for one more pass over the log. For files with just one object per line
+    the other layout and would end in one task. ``measured`` looks at the start of every file first and reads each by
+    its own layout. For files with just one object per line
     ``read_json`` is the fastest. Only ``lines`` notices when the very last object
     of a file lacks just its closing brace; ``packed`` reads that one as complete.
     """
     configure(spark)
     if layout == "measured":
-        # One row for each file, of which the driver lists all names anyway.
         files: dict[str, list[str]] = {}
-        for row in measured_layouts(spark, path).collect():
-            name = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(row["file"]))  # as a path pattern for this file alone
-            files.setdefault(row["layout"], []).append(name)
+        for file, kind in measured_layouts(spark, path).items():
+            name = re.sub(r"([\[\]{}*?\\])", r"\\\1", file)  # as a path pattern for this file alone
+            files.setdefault(kind, []).append(name)
         parts = [
             read_packed_json(spark, path if len(files) == 1 else names, schema, kind, corrupt, limit_bytes)
             for kind, names in sorted(files.items())

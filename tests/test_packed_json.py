@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -113,11 +114,24 @@ def test_measured_layout_per_file(spark, tmp_path):
     (folder / "a.json").write_text("".join(texts))
     (folder / "b.json").write_text("\n".join(texts) + "\n")
     (folder / "c.json").write_text(" ")
-    kinds = {r["file"].rsplit("/", 1)[1]: r["layout"] for r in packed_json.measured_layouts(spark, str(folder).replace("[", "\\[").replace("]", "\\]")).collect()}
+    found = packed_json.measured_layouts(spark, str(folder).replace("[", "\\[").replace("]", "\\]"))
+    kinds = {file.rsplit("/", 1)[1]: kind for file, kind in found.items()}
     assert (kinds["a.json"], kinds["b.json"]) == ("packed", "lines")
     assert read_packed_json(spark, str(folder).replace("[", "\\[").replace("]", "\\]"), layout="measured").count() == 120
 
 
+def test_layouts_are_told_from_the_start_of_a_file(spark, tmp_path, monkeypatch):
+    texts = [json.dumps(e, separators=(",", ":")) for e in THREE] * 2000
+    (tmp_path / "a.json").write_text("".join(texts) + "\n".join(texts))
+    with gzip.open(tmp_path / "b.json.gz", "wt") as out:
+        out.write("\n".join(texts) + "\n")
+    heads, real = [], packed_json.layout_of
+    monkeypatch.setattr(packed_json, "layout_of", lambda head: heads.append(len(head)) or real(head))
+    found = {f.rsplit("/", 1)[1]: kind for f, kind in packed_json.measured_layouts(spark, str(tmp_path), 10_000).items()}
+    assert found == {"a.json": "packed", "b.json.gz": "lines"} and heads == [10_000, 10_000]
+    assert real(b'{"a":1} {"b":2}\r\n{"c":3}{"d":4}') == "lines" and real(b'{"a":{"b":1}}{"c":2}') == "packed"
+
+
 def test_a_piece_without_a_cut_fails(spark, tmp_path):
     path = tmp_path / "lines.json"
     path.write_text("\n".join(json.dumps(e, separators=(",", ":")) for e in THREE * 50) + "\n")
