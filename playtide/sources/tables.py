@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
@@ -162,6 +163,8 @@ class FolderStore:
         home = self.home(table)
         if run_id is None:
             self._writer(df, table, "append").save(home)
+        elif not re.fullmatch(r"[\w.-]+", run_id):
+            raise ValueError(f"a run id names a folder: letters, digits, '_', '.' and '-' only, not {run_id!r}")
         else:
             self._writer(df, table, "overwrite").save(f"{home}/{_RUN}={_RUN_NAME}{run_id}")
         self._keep_schema(df, table, home)

@@ -91,11 +91,14 @@ def test_stores(spark, tmp_path, kind):
     store.write_batch(rows(spark, 6, 7), "b", 1)
     store.write_batch(rows(spark, 6, 8), "b", 1)
     assert values(store.scan("b")) == [5, 6, 8]
-    store.append(rows(spark, 5), "runs", "a day")
+    store.append(rows(spark, 5), "runs", "a-day")
     for _ in range(2):
-        store.append(rows(spark, 6, 8), "runs", "it's \\ 007")
+        store.append(rows(spark, 6, 8), "runs", "007" if kind == "folder" else "it's \\ 007")
     assert values(store.scan("runs")) == [5, 6, 8]
-    assert {r.run_id for r in store.scan("runs").collect()} == {"a day", "it's \\ 007"}
+    assert {r.run_id for r in store.scan("runs").collect()} == {"a-day", "007" if kind == "folder" else "it's \\ 007"}
+    if kind == "folder":
+        with pytest.raises(ValueError):
+            store.append(rows(spark, 1), "runs", "a/day")
     store.replace(rows(spark, 1, 2), "r")
     store.replace(store.scan("r").select((F.col("n") * 10).alias("n")), "r")
     assert values(store.scan("r")) == [10, 20]
