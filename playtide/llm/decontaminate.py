@@ -34,8 +34,9 @@ KEYS = 4  # keys that are taken from one walk
 LENGTHS = tuple(dict.fromkeys(int(1.25**k) for k in range(60)))
 #: Bits of the filters of the items' grams and keys; more items only let more windows through.
 TABLE_BITS = (20, 25)
-#: Items that would need more walks go through the exact count filter instead.
-MOST_REPEATS = 64
+#: Items that would need more walks go through the exact count filter instead, and so do those of longer windows, for
+#: which planning would take the driver minutes.
+MOST_REPEATS, LONGEST_PLANNED = 64, 350
 NEAR = 16
 _CELLS = 1 << 20  # numbers of the edit distances that are held at once
 
@@ -130,12 +131,14 @@ def _pair_repeats(n: int, k: int, wanted: float, trials: int) -> int | None:
 @lru_cache(maxsize=None)
 def repeats(length: int, edits: float = EDITS, recall: float = RECALL) -> int | None:
     """Repetitions that find an item of a window length at the largest distance allowed with the wanted probability, or
-    None where that takes more than ``MOST_REPEATS``.
+    None where that takes more than ``MOST_REPEATS`` or the window is longer than ``LONGEST_PLANNED``.
 
     Repetitions of one pair are not independent, so what is measured is the share of random pairs that any of them
     finds, over all word counts of this window length whose distance is larger than that of the count before. The
     share has to be over the recall by twice its standard error.
     """
+    if length > LONGEST_PLANNED:
+        return None
     longest = next((x for x in LENGTHS if x > length), length + 1) - 1
     hardest: dict[int, int] = {}
     for n in range(length, longest + 1):
