@@ -32,7 +32,7 @@ MEMO = 600_000  # words, and parts of words, that a worker remembers
 class WordBpe:
     """The word-end BPE of a tokenizer file: NFC, lower case, white space dropped, ``</w>`` at word ends."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = MEMO):
         spec = json.load(open(path, encoding="utf-8"))
         self.library = Tokenizer.from_file(path)
         model = spec["model"]
@@ -53,8 +53,12 @@ class WordBpe:
         self._merges([tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]], size)
         self._table()
         self.split = regex.compile(self.words.pattern + "|\n")
-        self.memo = WordMemo(self._encode_words, MEMO)
-        self.parts = WordMemo(self._encode_parts, MEMO)
+        self.remember = remember
+        self.forget()
+
+    def forget(self) -> None:
+        self.memo = WordMemo(self._encode_words, self.remember)
+        self.parts = WordMemo(self._encode_parts, self.remember)
 
     # -- rules
 
@@ -335,23 +339,27 @@ class WordBpe:
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names), " ")
 
 
-def tokenizer(path: str) -> WordBpe:
-    return kept_model(("word_bpe", path), lambda: WordBpe(path))
+def tokenizer(path: str, remember: int = MEMO) -> WordBpe:
+    return kept_model(("word_bpe", path, remember), lambda: WordBpe(path, remember))
 
 
-def encode(text: Column, path: str) -> Column:
+def encode(text: Column, path: str, remember: int = MEMO) -> Column:
     """Token ids of each text as binary: little-endian unsigned 32-bit integers.
 
     A null or blank text gives an empty binary. Equal texts give equal ids; the order of rows and other
-    columns play no part. Each word that is new to a task is proposed, verified and, if need be, merged once.
+    columns play no part. Each word that is new to a task is proposed, verified and, if need be, merged once. With less
+    than ``MEMO`` words to ``remember`` a worker also forgets them after each task: for jobs whose other stages need
+    the memory.
     """
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = tokenizer(path)
+        bpe = tokenizer(path, remember)
         for texts in batches:
             yield pa.concat_arrays([_packed(bpe.encode(piece)) for piece in slices(texts)] or [pa.array([], pa.binary())])
-        give_back(("word_bpe", path))
+        if remember < MEMO:
+            bpe.forget()
+        give_back(("word_bpe", path, remember))
 
     return run(text)
 
@@ -381,7 +389,7 @@ def round_trip(text: Column, path: str) -> Column:
             ids = [_packed(x) for x in found] or [pa.array([], pa.binary())]
             decoded = [bpe.decode(x) for x in found] or [pa.array([], pa.string())]
             yield pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(decoded)], ["ids", "decoded"])
-        give_back(("word_bpe", path))
+        give_back(("word_bpe", path, MEMO))
 
     return run(text)
 
@@ -394,6 +402,6 @@ def decode(ids: Column, path: str) -> Column:
         bpe = tokenizer(path)
         for packed in batches:
             yield bpe.decode(_unpacked(packed))
-        give_back(("word_bpe", path))
+        give_back(("word_bpe", path, MEMO))
 
     return run(ids)
