@@ -49,7 +49,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     on_workers(spark)
-    ids = docs.select("doc_id", "lang", "source", word_bpe.encode(F.col("text"), WORD_BPE).alias("ids"))
+    ids = docs.select("doc_id", "lang", "source", word_bpe.encode(F.col("text"), WORD_BPE, 150_000).alias("ids"))
     return ids.select("*", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
 
 
