@@ -314,6 +314,8 @@ def _windows(grams, sought, plan: list[tuple[int, int, int, int, int | None]]):
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(take), batch.column("text_hash").take(take), pa.array(start, pa.int32()),
                     pa.array([p.decode() for p in part], pa.string()), pa.array(key, pa.int64()), pa.array(of_items, pa.list_(pa.int64()))], schema=kind)
+        del words
+        bitmaps.clear()
         give_back()
 
     return run

@@ -29,8 +29,8 @@ MOST_BITS = 7.0
 
 _LETTER = regex.compile(r"\p{L}")
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-#: Numbers, of bytes times languages, that are held at once.
-_CHUNK = 1 << 21
+#: Numbers, of bytes times languages, that are held at once, and those of them that are looked up at once.
+_CHUNK, _BLOCK = 1 << 21, 1 << 18
 
 
 class _Table:
@@ -144,11 +144,17 @@ class Scorer:
     def _bits(self, data: np.ndarray) -> np.ndarray:
         """Bits of each byte under each language; the first ``ORDER`` bytes are context only."""
         out = np.zeros((len(data) - ORDER, len(self.model.languages)))
+        step = max(1 << 12, _BLOCK // len(self.model.languages))
+        for at in range(0, len(out), step):
+            self._add_bits(data[at : at + step + ORDER], out[at : at + step])
+        return out
+
+    def _add_bits(self, data: np.ndarray, out: np.ndarray) -> None:
         left = np.arange(len(out))
         longest = _keys(data, ORDER + 1)
         for k in range(ORDER, -1, -1):
             if not len(left):
-                return out
+                return
             keys = longest[left] & np.uint64((1 << 8 * (k + 1)) - 1)
             row = self.grams[k].find(keys)
             hit = row >= 0
@@ -158,7 +164,6 @@ class Scorer:
             known = context >= 0
             out[left[known]] += self.escapes[k].rows[context[known]]
         out[left] += 8.0
-        return out
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each whole text under each language."""
@@ -249,7 +254,8 @@ def identify(text: Column, model: Model) -> Column:
     A null, an empty text and one without a letter are ``und`` with score 0, and so is any text under a model that has
     learnt no language. Equal texts give equal results; other
     columns, the language among them, play no part. The model's statistics go along with the task: their size is
-    bounded by the training sample.
+    bounded by the training sample. Each text is scored once, also where a filter and a column both use the result:
+    Spark repeats a function that it takes for deterministic below a filter, with a Python worker more for each task.
     """
 
     @F.arrow_udf(RESULT)
@@ -262,9 +268,10 @@ def identify(text: Column, model: Model) -> Column:
             kinds = (pa.string(), pa.float64(), pa.float64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.StructArray.from_arrays(arrays, names=["lang_pred", "score", "bits_per_byte"])
+        del scorer
         give_back()
 
-    return run(text)
+    return run.asNondeterministic()(text)
 
 
 def rejected(result: Column) -> Column:

@@ -24,6 +24,24 @@ def test_remembered_words_are_bounded_in_bytes():
         assert memo.size == sum(map(len, known)) <= 4000 + 20 * 700
 
 
+def test_the_language_stage_scores_each_text_once(spark):
+    rows = [(i, f"{'abc'[i % 3]} word of language {i % 3} " * 5, "xyz"[i % 3], "s", 10) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.language_id(spark, docs, "")
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert found.count() == 60
+
+
+def test_looking_up_in_blocks_changes_no_bits(monkeypatch):
+    rng = random.Random(9)
+    samples = {k: [random_text(rng, f"{k} etaoin", 3000).encode()] for k in "qz"}
+    texts = [b"", *(random_text(rng, "qz etaoin\u00e9", n).encode() for n in (1, 5000, 20_000))]
+    monkeypatch.setattr(langid, "_BLOCK", 1 << 30)
+    whole = langid.Scorer(langid.fit(samples)).code_lengths(texts)
+    monkeypatch.setattr(langid, "_BLOCK", 1)
+    assert (langid.Scorer(langid.fit(samples)).code_lengths(texts) == whole).all()
+
+
 # -- secrets
 
 
