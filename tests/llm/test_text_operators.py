@@ -146,6 +146,38 @@ def test_repeated_lines_of_short_sentences(spark):
     assert line_dedup.repeated(df, lines=False).select("doc_id", "start").collect() == [(3, 0)]
 
 
+def test_repeated_passages_of_short_sentences(spark):
+    """A passage of 56 words without any sentence or line of 15; only its end alone is too short to go."""
+    passage = " ".join(f"Here stands number {w} of the short ones." for w in "one two three four five six seven".split())
+    lines = passage.replace(". ", ".\n")
+    rows = [(1, f"An opening of its own. {passage} An end."), (2, f"Cut in the mid {passage.upper()}  Then more."), (3, f"x.\n{lines}\ny"),
+            (4, "Here stands number one of the short ones. No more of it."), (5, None), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert line_dedup.repeated(df, least_words=15).count() == 0  # single lines and sentences: nothing is found
+    found = line_dedup.repeated(df, least_words=15, runs=True)
+    got = {(r["doc_id"], r["start"], r["end"], r["kept_doc_id"]) for r in rows_of(line_dedup.passages(found))}
+    second = 15 + passage.index("Here", 1)  # its first sentence began before
+    assert got == {(2, second, 15 + len(passage), 1), (3, 3, 3 + len(passage), 1)}
+    clean = {r["doc_id"]: r["text"] for r in rows_of(line_dedup.deduplicated(df, least_words=15, runs=True))}
+    assert clean == {**dict(rows), 2: f"{rows[1][1][:second]}  Then more.", 3: "x.\n\ny"}
+    assert line_dedup.passages(line_dedup.repeated(empty(spark), runs=True)).count() == 0
+
+
+def test_runs_cover_what_is_shared_to_the_end(spark):
+    import random
+
+    draw = random.Random(5)
+    sentence = lambda n: " ".join(f"word{draw.randrange(10**6)}" for _ in range(n)) + "."
+    for _ in range(300):
+        shared = [sentence(draw.randint(1, 20)) for _ in range(draw.randint(1, 9))]
+        one, two = (" ".join([sentence(3), *shared, sentence(4)]) for _ in range(2))
+        known = {d for _, _, d in line_dedup.run_units(one, 15)}
+        covered = {p for s, e, d in line_dedup.run_units(two, 15) if d in known for p in range(s, e)}
+        whole = " ".join(shared)
+        at, shown = two.index(whole), {p for p, c in enumerate(two) if c != " "}
+        assert covered & shown == (set(range(at, at + len(whole))) & shown if len(whole.split()) >= 15 else set())
+
+
 # -- fertility
 
 
